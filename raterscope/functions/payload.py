@@ -6,7 +6,7 @@ returns an array of `key::value` items, null where the text is not a known form.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,13 +21,21 @@ def fix_separators(raw: Column) -> Column:
     return F.translate(raw, ";'", ',"')
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value computed once: a lambda variable is never evaluated again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def decision_labels(raw: Column) -> Column:
     """Labels of a decision payload in list form or in nested form."""
-    top = F.from_json(fix_separators(raw), _STRINGS)
-    first = F.get(F.map_keys(top), F.lit(0))
-    return F.when(first == "decision_string", _label_list(top)).when(
-        first == "is_rejected", _nested_labels(F.try_element_at(top, F.lit("response")))
-    )
+
+    def by_form(top: Column) -> Column:
+        first = F.get(F.map_keys(top), F.lit(0))
+        return F.when(first == "decision_string", _label_list(top)).when(
+            first == "is_rejected", _nested_labels(F.try_element_at(top, F.lit("response")))
+        )
+
+    return _let(F.from_json(fix_separators(raw), _STRINGS), by_form)
 
 
 def flat_labels(raw: Column) -> Column:
@@ -37,18 +45,27 @@ def flat_labels(raw: Column) -> Column:
 
 def listed_labels(raw: Column) -> Column:
     """The `labels` array of the list form."""
-    top = F.from_json(fix_separators(raw), _STRINGS)
-    first = F.get(F.map_keys(top), F.lit(0))
-    return F.when(first == "decision_string", _label_list(top))
+
+    def list_form(top: Column) -> Column:
+        first = F.get(F.map_keys(top), F.lit(0))
+        return F.when(first == "decision_string", _label_list(top))
+
+    return _let(F.from_json(fix_separators(raw), _STRINGS), list_form)
 
 
 def auditor_keyed_labels(raw: Column) -> Column:
     """Struct(auditor_id, labels) of a payload keyed by one all-digit auditor id."""
-    top = F.from_json(fix_separators(raw), _STRINGS)
-    auditor = F.get(F.map_keys(top), F.lit(0))
-    nested = F.from_json(F.get(F.map_values(top), F.lit(0)), "labels array<string>")
-    known = auditor.rlike(r"^\d+$") & nested["labels"].isNotNull()
-    return F.when(known, F.struct(auditor.alias("auditor_id"), nested["labels"].alias("labels")))
+
+    def keyed(top: Column) -> Column:
+        auditor = F.get(F.map_keys(top), F.lit(0))
+        nested = F.from_json(F.get(F.map_values(top), F.lit(0)), "labels array<string>")
+        return F.when(
+            auditor.rlike(r"^\d+$"),
+            F.struct(auditor.alias("auditor_id"), nested["labels"].alias("labels")),
+        )
+
+    found = _let(F.from_json(fix_separators(raw), _STRINGS), keyed)
+    return _let(found, lambda k: F.when(k["labels"].isNotNull(), k))
 
 
 def _label_list(top: Column) -> Column:
@@ -60,25 +77,34 @@ def _label_list(top: Column) -> Column:
 
 def _nested_labels(response: Column) -> Column:
     """response -> first entity -> payload items -> their `values` objects."""
+
+    def items(payload: Column) -> Column:
+        # A single object stands for a list of one.
+        return F.coalesce(F.from_json(payload, "array<string>"), F.array(payload))
+
+    def labels(entities: Column) -> Column:
+        entity = F.get(F.map_values(entities), F.lit(0))
+        payload = F.from_json(entity, "payload string")["payload"]
+        per_item = F.transform(
+            _let(payload, items),
+            lambda item: _object_items(F.from_json(item, "values string")["values"]),
+        )
+        known = F.filter(per_item, lambda part: part.isNotNull())
+        return F.when(entities.isNotNull(), F.coalesce(F.flatten(known), _no_labels()))
+
     blank = response.isNull() | response.isin("", "null")
-    entities = F.from_json(F.translate(response, "'", '"'), _STRINGS)
-    entity = F.get(F.map_values(entities), F.lit(0))
-    payload = F.from_json(entity, "payload string")["payload"]
-    items = F.coalesce(F.from_json(payload, "array<string>"), F.array(payload))
-    per_item = F.transform(
-        items, lambda item: _object_items(F.from_json(item, "values string")["values"])
-    )
-    known = F.filter(per_item, lambda labels: labels.isNotNull())
-    return F.when(blank, _no_labels()).when(
-        entities.isNotNull(), F.coalesce(F.flatten(known), _no_labels())
-    )
+    parsed = F.from_json(F.translate(response, "'", '"'), _STRINGS)
+    return F.when(blank, _no_labels()).otherwise(_let(parsed, labels))
 
 
 def _object_items(text: Column) -> Column:
-    return F.transform(
-        F.map_entries(F.from_json(text, _STRINGS)),
-        lambda e: F.concat(e["key"], F.lit(SEPARATOR), _shown(e["key"], e["value"], text)),
-    )
+    def items(known: Column) -> Column:
+        return F.transform(
+            F.map_entries(F.from_json(known, _STRINGS)),
+            lambda e: F.concat(e["key"], F.lit(SEPARATOR), _shown(e["key"], e["value"], known)),
+        )
+
+    return _let(text, items)
 
 
 def _shown(key: Column, value: Column, text: Column) -> Column:
@@ -87,13 +113,19 @@ def _shown(key: Column, value: Column, text: Column) -> Column:
     Only a value that looks like a list or a boolean is parsed again to learn its type.
     """
     typed = F.try_element_at(F.from_json(text, "map<string,variant>"), key)
-    kind = F.schema_of_variant(typed)
-    joined = F.array_join(
-        F.transform(F.from_json(value, "array<string>"), lambda v: clean_text(v)), ","
-    )
-    special = F.when(kind == "BOOLEAN", F.initcap(value)).when(kind.startswith("ARRAY"), joined)
+
+    def special(kind: Column) -> Column:
+        joined = F.array_join(
+            F.transform(F.from_json(value, "array<string>"), lambda v: clean_text(v)), ","
+        )
+        return (
+            F.when(kind == "BOOLEAN", F.initcap(value))
+            .when(kind.startswith("ARRAY"), joined)
+            .otherwise(clean_text(value))
+        )
+
     return F.when(
-        value.rlike(r"^(true|false|\[[\s\S]*\])$"), F.coalesce(special, clean_text(value))
+        value.rlike(r"^(true|false|\[[\s\S]*\])$"), _let(F.schema_of_variant(typed), special)
     ).otherwise(clean_text(value))
 
 
@@ -107,18 +139,28 @@ def label_entries(labels: Column, excluded: Sequence[str] = ()) -> Column:
     Items without the separator and excluded keys are dropped; the first value of a key
     wins.
     """
-    parts = F.transform(
-        F.filter(labels, lambda s: F.contains(s, F.lit(SEPARATOR))),
-        lambda s: F.struct(
-            F.trim(F.get(F.split(s, SEPARATOR, 2), F.lit(0))).alias("key"),
-            F.get(F.split(s, SEPARATOR, 2), F.lit(1)).alias("value"),
-        ),
-    )
-    if excluded:
-        names = [name.strip() for name in excluded]
-        parts = F.filter(parts, lambda e: ~e["key"].isin(names))
-    keys = F.transform(parts, lambda e: e["key"])
-    return F.filter(parts, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+    start = len(SEPARATOR) + 1
+
+    def parts(items: Column) -> Column:
+        split = F.transform(
+            F.filter(items, lambda s: F.contains(s, F.lit(SEPARATOR))),
+            lambda s: F.struct(
+                F.trim(F.substring_index(s, SEPARATOR, 1)).alias("key"),
+                s.substr(F.locate(SEPARATOR, s) + start - 1, F.length(s)).alias("value"),
+            ),
+        )
+        if excluded:
+            names = [name.strip() for name in excluded]
+            split = F.filter(split, lambda e: ~e["key"].isin(names))
+        return split
+
+    def first_wins(found: Column) -> Column:
+        return _let(
+            F.transform(found, lambda e: e["key"]),
+            lambda keys: F.filter(found, lambda e, i: F.array_position(keys, e["key"]) == i + 1),
+        )
+
+    return _let(_let(labels, parts), first_wins)
 
 
 def label_map(labels: Column, excluded: Sequence[str] = ()) -> Column:
@@ -127,19 +169,25 @@ def label_map(labels: Column, excluded: Sequence[str] = ()) -> Column:
 
 def rubric_answers(raw: Column) -> Column:
     """Map question -> number of "Yes" in its answer list; blank or bad text gives an empty map."""
-    items = F.from_json(F.trim(raw), "array<struct<question:string,answer:string>>")
-    items = F.filter(items, lambda i: i["question"].isNotNull())
-    counts = F.transform(
-        items,
-        lambda i: F.struct(i["question"].alias("key"), _count_yes(i["answer"]).alias("value")),
-    )
-    last = F.filter(
-        counts,
-        lambda e, i: ~F.exists(
-            F.slice(counts, i + 2, F.size(counts)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,int>"))
+
+    def counts(items: Column) -> Column:
+        return F.transform(
+            F.filter(items, lambda i: i["question"].isNotNull()),
+            lambda i: F.struct(i["question"].alias("key"), _count_yes(i["answer"]).alias("value")),
+        )
+
+    def last_wins(found: Column) -> Column:
+        later = F.filter(
+            found,
+            lambda e, i: ~F.exists(
+                F.slice(found, i + 2, F.size(found)), lambda after: after["key"] == e["key"]
+            ),
+        )
+        return F.map_from_entries(later)
+
+    parsed = F.from_json(F.trim(raw), "array<struct<question:string,answer:string>>")
+    answers = _let(_let(parsed, counts), last_wins)
+    return F.coalesce(answers, F.create_map().cast("map<string,int>"))
 
 
 def _count_yes(answer: Column) -> Column:

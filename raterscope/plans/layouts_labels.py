@@ -19,6 +19,7 @@ from raterscope.plans.layouts_common import (
     positions,
     with_source,
 )
+from raterscope.session import stored
 
 # --- decision JSON ---------------------------------------------------------------------
 
@@ -71,7 +72,8 @@ def normalize_decision_json(df: DataFrame, config: dict) -> DataFrame:
     """Long audit or multi rows; per file, the last row of a rater and job counts.
 
     A row rejected for its JSON never displaces an accepted one: accepted rows sort first
-    and the reject test follows the dedupe, so each payload is parsed once.
+    and the reject test follows the dedupe. The parsed rows are stored, because the label
+    list of a file and its rows both come from them; each payload is parsed once.
     """
     audit = _needs_auditor(config)
     sides = ["rater", "auditor"] if audit else ["rater"]
@@ -85,6 +87,7 @@ def normalize_decision_json(df: DataFrame, config: dict) -> DataFrame:
     ]
     last = dedupe.top_per_group(tagged, files + ["rater_id", "job_id"], order, 1)
     rows = clean.accepted(last).drop(*[f"{side}_labels" for side in sides], *positions(tagged))
+    rows = stored(rows, "decision-rows")
     long = reshape.align_labels(
         rows, files, ["job_id", "rater_id"], "rater_map", "auditor_map" if audit else None
     )
@@ -144,6 +147,7 @@ def normalize_auditor_keyed_json(df: DataFrame, config: dict) -> DataFrame:
             for side in ("rater", "auditor")
         }
     ).drop("rater_labels", "auditor_labels")
+    rows = stored(rows, "keyed-rows")
     long = reshape.align_labels(
         rows,
         carried(rows),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from raterscope.functions import clean, payload
 from raterscope.operators import rubric as rb
 from raterscope.plans.layouts_common import any_null, carried, id_checks, positions, with_source
-from raterscope.session import checkpoint_dir
+from raterscope.session import stored
 
 
 def _rule(key: str, *fallbacks: str, required: bool = True) -> dict:
@@ -115,13 +115,16 @@ def _normalize(mapped: DataFrame, items: Column, config: dict, approved: str) ->
     The penalties are inferred before rows are rejected: a row with a bad date still
     tells what an entry costs.
     """
-    checkpoint_dir(mapped.sparkSession)
     scope, order = carried(mapped), positions(mapped)
     if "manual_score" in mapped.columns:
         score = clean.number(F.col("manual_score"))
     else:
         score = F.lit(None).cast("double")
-    rows = mapped.withColumns({"items": items, "score": score})
+    columns = [*scope, *order, *ROLES, "status"]
+    columns += [c for c in ("auditor_organization",) if c in mapped.columns]
+    rows = stored(
+        mapped.select(*columns, items.alias("items"), score.alias("score")), "outcome-rows"
+    )
     records = rows.select(*scope, F.struct(*order).alias("row_id"), "items", "score")
     configured = config.get("rubric", [])
     penalties = {
