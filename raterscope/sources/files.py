@@ -65,18 +65,26 @@ def scan_folder(spark: SparkSession, root: str) -> DataFrame:
     return with_path_keys(listed)
 
 
-def with_path_keys(files: DataFrame) -> DataFrame:
-    """Project id, week and filename from `<project id>_<name>/WE yyyy.MM.dd/<file>`."""
+PATH_KEYS = r"/([^/_]+)_[^/]*/WE (\d{4}\.\d{2}\.\d{2})/([^/]+)$"
+WEEK_FORMAT = "yyyy.MM.dd"
+
+
+def with_path_keys(
+    files: DataFrame, pattern: str = PATH_KEYS, week_format: str = WEEK_FORMAT
+) -> DataFrame:
+    """Project id, week and filename from `<project id>_<name>/WE yyyy.MM.dd/<file>`.
+
+    Another folder scheme is given as a pattern with those three groups.
+    """
     path = F.replace(F.col("path"), F.lit("%20"), F.lit(" "))
-    keys = r"/([^/_]+)_[^/]*/WE (\d{4}\.\d{2}\.\d{2})/([^/]+)$"
 
     def part(group: int) -> Column:
-        return F.nullif(F.regexp_extract(path, keys, group), F.lit(""))
+        return F.nullif(F.regexp_extract(path, pattern, group), F.lit(""))
 
     return files.withColumns(
         {
             "project_id": part(1),
-            "data_week": F.try_to_date(part(2), "yyyy.MM.dd"),
+            "data_week": F.try_to_date(part(2), week_format),
             "filename": F.element_at(F.split(path, "/"), -1),
         }
     )

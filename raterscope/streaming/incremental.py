@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raterscope.sources.files import with_path_keys
+from raterscope.sources.files import PATH_KEYS, WEEK_FORMAT, with_path_keys
 from raterscope.sources.lake import base_code, string_schema
 
 BATCH_PARTITIONS = ["base", "project_id", "reporting_week", "batch_id"]
@@ -20,7 +20,12 @@ WEEK = ["project_id", "reporting_week"]
 
 
 def raw_stream(
-    spark: SparkSession, root: str, columns: Sequence[str], max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    columns: Sequence[str],
+    max_files: int | None = None,
+    keys_pattern: str = PATH_KEYS,
+    week_format: str = WEEK_FORMAT,
 ) -> DataFrame:
     """Raw CSV rows as strings, with file, position, project and reporting week.
 
@@ -42,7 +47,7 @@ def raw_stream(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
-    keyed = with_path_keys(rows).withColumnsRenamed(
+    keyed = with_path_keys(rows, keys_pattern, week_format).withColumnsRenamed(
         {"path": "source_file", "data_week": "reporting_week"}
     )
     return keyed.drop("filename")
