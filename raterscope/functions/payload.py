@@ -15,10 +15,20 @@ from raterscope.functions.clean import clean_text
 
 SEPARATOR = "::"
 _STRINGS = "map<string,string>"
+_CORRUPT = "_corrupt_record"
+_DECISION = f"decision_string string, labels array<string>, response string, {_CORRUPT} string"
+_ENTITIES = "map<string,struct<payload:array<struct<values:map<string,string>>>>>"
+
+# A value that cleaning leaves as it is and that is neither a list nor a boolean.
+_PLAIN = r"^(?!(true|false)$)([\w.,:;/+-]+( [\w.,:;/+-]+)*)?$"
 
 
 def fix_separators(raw: Column) -> Column:
-    return F.translate(raw, ";'", ',"')
+    return _double_quotes(F.replace(raw, F.lit(";"), F.lit(",")))
+
+
+def _double_quotes(text: Column) -> Column:
+    return F.replace(text, F.lit("'"), F.lit('"'))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -27,15 +37,37 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def decision_labels(raw: Column) -> Column:
-    """Labels of a decision payload in list form or in nested form."""
+    """Labels of a decision payload in list form or in nested form.
+
+    A well-typed payload is read with one typed parse per JSON level. One that does not fit
+    the types (and only that one) is taken apart level by level.
+    """
+
+    def typed(text: Column) -> Column:
+        first = F.regexp_extract(text, r'^\s*\{\s*"([^"]*)"', 1)
+
+        def by_form(top: Column) -> Column:
+            fits = top[_CORRUPT].isNull()
+            return (
+                F.when(fits & (first == "decision_string"), F.coalesce(top["labels"], _no_labels()))
+                .when(fits & (first == "is_rejected"), _nested_labels(top["response"]))
+                .otherwise(_labels_by_level(text))
+            )
+
+        parsed = F.from_json(text, _DECISION, {"columnNameOfCorruptRecord": _CORRUPT})
+        return _let(parsed, by_form)
 
+    return _let(fix_separators(raw), typed)
+
+
+def _labels_by_level(text: Column) -> Column:
     def by_form(top: Column) -> Column:
         first = F.get(F.map_keys(top), F.lit(0))
         return F.when(first == "decision_string", _label_list(top)).when(
             first == "is_rejected", _nested_labels(F.try_element_at(top, F.lit("response")))
         )
 
-    return _let(F.from_json(fix_separators(raw), _STRINGS), by_form)
+    return _let(F.from_json(text, _STRINGS), by_form)
 
 
 def flat_labels(raw: Column) -> Column:
@@ -78,6 +110,34 @@ def _label_list(top: Column) -> Column:
 def _nested_labels(response: Column) -> Column:
     """response -> first entity -> payload items -> their `values` objects."""
 
+    def typed(text: Column) -> Column:
+        def from_items(items: Column) -> Column:
+            simple = F.forall(
+                items,
+                lambda i: F.forall(
+                    F.map_values(i["values"]), lambda v: F.coalesce(v.rlike(_PLAIN), F.lit(True))
+                ),
+            )
+            labels = F.transform(
+                items,
+                lambda i: F.transform(
+                    F.map_entries(i["values"]),
+                    lambda e: F.concat(
+                        e["key"], F.lit(SEPARATOR), F.coalesce(e["value"], F.lit(""))
+                    ),
+                ),
+            )
+            # Null where an item has no values object, so that case goes level by level.
+            return F.when(simple, F.flatten(labels)).otherwise(_items_by_level(text))
+
+        entity = F.get(F.map_values(F.from_json(text, _ENTITIES)), F.lit(0))
+        return _let(entity["payload"], from_items)
+
+    blank = response.isNull() | response.isin("", "null")
+    return F.when(blank, _no_labels()).otherwise(_let(_double_quotes(response), typed))
+
+
+def _items_by_level(text: Column) -> Column:
     def items(payload: Column) -> Column:
         # A single object stands for a list of one.
         return F.coalesce(F.from_json(payload, "array<string>"), F.array(payload))
@@ -92,9 +152,7 @@ def _nested_labels(response: Column) -> Column:
         known = F.filter(per_item, lambda part: part.isNotNull())
         return F.when(entities.isNotNull(), F.coalesce(F.flatten(known), _no_labels()))
 
-    blank = response.isNull() | response.isin("", "null")
-    parsed = F.from_json(F.translate(response, "'", '"'), _STRINGS)
-    return F.when(blank, _no_labels()).otherwise(_let(parsed, labels))
+    return _let(F.from_json(text, _STRINGS), labels)
 
 
 def _object_items(text: Column) -> Column:
@@ -124,9 +182,11 @@ def _shown(key: Column, value: Column, text: Column) -> Column:
             .otherwise(clean_text(value))
         )
 
-    return F.when(
-        value.rlike(r"^(true|false|\[[\s\S]*\])$"), _let(F.schema_of_variant(typed), special)
-    ).otherwise(clean_text(value))
+    return (
+        F.when(value.rlike(_PLAIN), value)
+        .when(value.rlike(r"^(true|false|\[[\s\S]*\])$"), _let(F.schema_of_variant(typed), special))
+        .otherwise(clean_text(value))
+    )
 
 
 def _no_labels() -> Column:
@@ -193,6 +253,6 @@ def rubric_answers(raw: Column) -> Column:
 def _count_yes(answer: Column) -> Column:
     values = F.coalesce(
         F.from_json(answer, "array<string>"),
-        F.from_json(F.translate(answer, "'", '"'), "array<string>"),
+        F.from_json(_double_quotes(answer), "array<string>"),
     )
     return F.coalesce(F.size(F.filter(values, lambda v: v == "Yes")), F.lit(0))

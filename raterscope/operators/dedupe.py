@@ -30,5 +30,15 @@ def keep_last(df: DataFrame, keys: Sequence[str], position: Sequence[str]) -> Da
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+    """The first `n` rows of each key in the given order.
+
+    The key's hash leads the partition columns: the sorts before and after the shuffle
+    then compare one long, and look at the key and order columns only where rows collide.
+    """
+    window = Window.partitionBy("_hash", *keys).orderBy(*order)
+    return (
+        df.withColumn("_hash", F.xxhash64(*keys))
+        .withColumn("_rank", F.row_number().over(window))
+        .where(F.col("_rank") <= n)
+        .drop("_rank", "_hash")
+    )
