@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from raterscope.sources.lake import spread
+
 V_AUDIT = """
 select concat('p', cast(l.l_suppkey % 3 as string), case when l.l_suppkey % 2 = 0 then 'n2' else '' end) as project_id,
        FRI(cast(date_trunc('year', l.l_shipdate) as date)) as reporting_week,
@@ -180,7 +182,7 @@ def _friday(text: str, form: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,8 @@ def read_raw_csv(
 
     The strict parse fails on malformed lines. The permissive one reads backslash escapes
     and Latin-1, for files whose header `needs_permissive_parse`. `multiline=False` lets
-    Spark split files that have no line breaks inside quotes.
+    Spark split files that have no line breaks inside quotes; a file that cannot be split is
+    read by one task and its rows are then spread.
     """
     reader = (
         spark.read.schema(string_schema(columns))
@@ -47,7 +48,17 @@ def read_raw_csv(
         reader = reader.option("escape", "\\").option("encoding", "ISO-8859-1")
     else:
         reader = reader.option("escape", '"')
-    return with_positions(reader.csv(paths)).na.fill("", list(columns))
+    return spread(with_positions(reader.csv(paths)).na.fill("", list(columns)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a plain scan to all cores when it has fewer tasks than cores.
+
+    Helps where few unsplittable files feed costly parsing. A scan of many files has more
+    tasks than the cluster has cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def with_positions(df: DataFrame) -> DataFrame:
