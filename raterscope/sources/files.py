@@ -60,7 +60,11 @@ def scan_folder(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(root)
-        .select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("length").alias("size_bytes"),
+            F.col("modificationTime").alias("modified"),
+        )
     )
     return with_path_keys(listed)
 

@@ -72,7 +72,7 @@ def _highest_id(spark: SparkSession, root: str, condition: Column) -> int | None
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/weeks")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    ids = spark.read.parquet(f"{root}/weeks").where(condition)
+    ids = spark.read.schema("snapshot_id int").parquet(f"{root}/weeks").where(condition)
     return ids.agg(F.max("snapshot_id")).first()[0]
 
 
