@@ -19,7 +19,8 @@ LABEL_CONFIG = {
 }
 
 # The payload fixture with a position that is unique within a rater and job.
-POSITION = "cast(l.l_linenumber as bigint) * 1000000000 + l.l_partkey"
+POSITION = """cast(l.l_linenumber as bigint) * 1000000000000000 + l.l_partkey * 100000000
+  + cast(floor(l.l_extendedprice * 100) as bigint) % 100000000"""
 RAW_DECISIONS = fx.V_PAYLOAD.replace("l.l_linenumber as row_pos", f"{POSITION} as row_pos").replace(
     "from lineitem l", ", concat('file_', cast(l.l_suppkey % 3 as string)) as source_file from lineitem l"
 )
@@ -69,7 +70,7 @@ def ingest_reject_stats(spark, sf):
     return clean.reject_stats(tagged, ["source_file"])
 
 
-RAW_KEYED = KEYED.replace("l_orderkey, concat", "cast(l_linenumber as bigint) * 1000000000 + l_partkey as row_pos, concat")
+RAW_KEYED = KEYED.replace("l_orderkey, concat", POSITION.replace("l.", "") + " as row_pos, concat")
 
 
 @check(f"""with d as (select concat('file_', cast(l_suppkey % 3 as varchar)) as source_file, cast(l_shipdate as date) as job_date,
@@ -77,7 +78,7 @@ RAW_KEYED = KEYED.replace("l_orderkey, concat", "cast(l_linenumber as bigint) *
     cast(10000000000 + l_suppkey as varchar) as rater_id, cast(20000000000 + l_partkey % 40 as varchar) as auditor_id,
     l_returnflag as flag, l_linestatus as status, case when l_tax = 0 then 'A' else l_returnflag end as a_flag,
     l_partkey % 17 <> 0 and l_partkey % 13 <> 0 as valid,
-    row_number() over (partition by l_suppkey, l_orderkey order by cast(l_linenumber as bigint) * 1000000000 + l_partkey desc) as n
+    row_number() over (partition by l_suppkey, l_orderkey order by {POSITION.replace("l.", "")} desc) as n
   from lineitem where l_suppkey % 11 <> 0),
 a as (select {BASE}, auditor_id, unnest(['extra', 'flag', 'status']) as parent_label, unnest(['', flag, status]) as rater_response,
   unnest(['1', a_flag, '']) as auditor_response from d where n = 1 and valid)

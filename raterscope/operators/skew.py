@@ -30,10 +30,23 @@ MAX_BROADCAST_ROWS = 200_000
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join on keys with null equal to null; the key columns come from the left."""
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    condition = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+    """Join on keys with null equal to null; the key columns come from the left.
+
+    The keys' hash is compared first, so a sort-merge join sorts by one long.
+    """
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys}).withColumn(
+        "_right_hash", F.xxhash64(*[F.col(f"_right_{k}") for k in keys])
+    )
+    condition = reduce(
+        and_,
+        [F.col("_left_hash") == F.col("_right_hash")]
+        + [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys],
+    )
+    return (
+        left.withColumn("_left_hash", F.xxhash64(*keys))
+        .join(renamed, condition, how)
+        .drop("_left_hash", "_right_hash", *[f"_right_{k}" for k in keys])
+    )
 
 
 def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, rows_per_slice: int) -> DataFrame:
