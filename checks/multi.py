@@ -27,7 +27,7 @@ def multi_long(spark, sf):
 select week_ending as reporting_week, project_id, job_id, parent_label, rater_response, n as response_count,
   cast(t as bigint) as total_responses_count from tot""")
 def multi_vote_counts(spark, sf):
-    rows = multi_long(spark, sf).where(reports._label_guard())
+    rows = multi_long(spark, sf).where(reports.label_guard())
     return consensus.vote_counts(dedupe.keep_first(rows, dedupe.LABEL_KEY))
 
 

@@ -1,14 +1,17 @@
-"""The full run: snapshot, diff, normalise, reports, roll-up."""
+"""The full run: new files, long rows, reports of the touched weeks, roll-up."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raterscope.plans import reports
 from raterscope.plans.rollups import contributor_rollup
 from raterscope.session import scratch_path
-from raterscope.streaming.incremental import affected_rows, write_report
+from raterscope.sources import lake
+from raterscope.streaming.incremental import affected_rows, ingest_new_files, write_report
 
 _PREPARE = {
     "A": (reports.audit_rows, reports.AUDIT_REPORTS),
@@ -61,3 +64,28 @@ def contributor_table(spark: SparkSession, out: str, codes: list[str], projects:
 def override_report(rollup: DataFrame, out: str, name: str) -> None:
     """Replace the report partitions of a project's weeks by roll-up output."""
     write_report(rollup, out, name)
+
+
+def run(
+    raw: DataFrame,
+    normalize: Callable[[DataFrame], DataFrame],
+    base: str,
+    targets: DataFrame,
+    lake_root: str,
+    out: str,
+    marks: str,
+) -> bool:
+    """Ingest what arrived on a raw stream and rebuild the reports it touches.
+
+    Returns whether anything changed, so that roll-ups run only then.
+    """
+    spark = raw.sparkSession
+    code = lake.base_code(base)
+    rebuilt = []
+
+    def on_weeks(weeks: DataFrame) -> None:
+        rows = lake.scan(spark, lake_root, base=code)
+        rebuilt.extend(rebuild_reports(spark, rows, code, targets, out, weeks))
+
+    ingest_new_files(raw, normalize, lake_root, base, marks, on_weeks)
+    return bool(rebuilt)

@@ -33,20 +33,20 @@ SCORES = ("score", "f1score", "precision", "recall")
 # --- row preparation -------------------------------------------------------------
 
 
-def _label_guard() -> Column:
+def label_guard() -> Column:
     label = F.col("parent_label")
     return label.isNotNull() & ~label.isin("", PIPELINE_ERROR_LABEL)
 
 
 def audit_rows(rows: DataFrame) -> DataFrame:
     """Audited label rows, one per (project, week, job, rater, label)."""
-    guarded = rows.where(_label_guard() & (F.col("auditor_id") != ""))
+    guarded = rows.where(label_guard() & (F.col("auditor_id") != ""))
     return _week_ending(dedupe.keep_first(guarded, dedupe.LABEL_KEY))
 
 
 def multi_rows(rows: DataFrame) -> DataFrame:
     """Deduplicated multi-review rows with their consensus answer."""
-    unique = dedupe.keep_first(rows.where(_label_guard()), dedupe.LABEL_KEY)
+    unique = dedupe.keep_first(rows.where(label_guard()), dedupe.LABEL_KEY)
     return _week_ending(consensus.with_consensus(unique))
 
 

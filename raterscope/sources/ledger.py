@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raterscope.operators.dedupe import top_per_group
+from raterscope.operators.skew import attach
 
 WEEK_KEY = ["project_id", "data_week"]
 
@@ -124,7 +125,8 @@ def files_to_enqueue(
 def active_only(entries: DataFrame, projects: DataFrame) -> DataFrame:
     """Entries of projects whose status is Active."""
     active = projects.where(F.col("project_status") == "Active").select("project_id")
-    return entries.join(active, "project_id", "left_semi")
+    spread_by = [c for c in entries.columns if c != "project_id"][:3]
+    return attach(entries, active, ["project_id"], spread_by, "left_semi")
 
 
 # --- event log --------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from raterscope.operators.skew import attach
 from raterscope.sources.files import PATH_KEYS, WEEK_FORMAT, with_path_keys
 from raterscope.sources.lake import base_code, string_schema
 
@@ -73,7 +74,8 @@ def ingest_new_files(
             {"base": F.lit(code), "batch_id": F.lit(batch_id)}
         )
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", *[F.col(c) for c in BATCH_PARTITIONS])
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*BATCH_PARTITIONS)
             .parquet(lake)
@@ -95,14 +97,17 @@ def ingest_new_files(
 
 def affected_rows(lake_rows: DataFrame, weeks: DataFrame) -> DataFrame:
     """Lake rows of the touched project-weeks; partition pruning reads only those."""
-    return lake_rows.join(weeks, WEEK, "left_semi")
+    spread_by = [c for c in ("job_id", "rater_id") if c in lake_rows.columns]
+    return attach(lake_rows, weeks, WEEK, spread_by, "left_semi")
 
 
 def write_report(report: DataFrame, root: str, name: str) -> None:
     """Replace the report's partitions of the weeks it holds."""
+    keys = ["project_id", "week_ending"]
     (
-        report.write.mode("overwrite")
+        report.hint("rebalance", *[F.col(c) for c in keys])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("project_id", "week_ending")
+        .partitionBy(*keys)
         .parquet(f"{root}/{name}")
     )

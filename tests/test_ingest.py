@@ -164,3 +164,48 @@ def test_confusion_cells_cover_binary_rows(spark, sf):
     cells = rows.where("confusion_type <> ''").count()
     assert cells == rows.where("is_label_binary").count()
     assert layouts_labels.LONG_AUDIT_RULES["workflow"]["required"] is False
+
+
+SHEET = "actor_id,reviewer_id,job_id,job_date,queue,label,actor_answer,reviewer_answer"
+
+
+def test_full_run_rebuilds_touched_weeks_only(spark, raw):
+    """Two deliveries: the second one rebuilds its own week, and the numbers follow."""
+    root, add = raw
+    folder = "s1_Sheet"
+    names = {k: str(root / k) for k in ("lake", "out", "marks")}
+    goals = spark.createDataFrame([("s1", 0.5)], "project_id string, target double")
+
+    def line(rater, job, day, mine, theirs):
+        return f"1000000000{rater},20000000001,3000000000{job},{day},q,flag,{mine},{theirs}\n"
+
+    def go():
+        stream = incremental.raw_stream(spark, str(root / "raw" / folder), SHEET.split(","))
+        normalize = lambda batch: layouts_labels.normalize_long_audit(batch, {})
+        return daily.run(stream, normalize, "audit", goals, names["lake"], names["out"], names["marks"])
+
+    def scores():
+        report = spark.read.parquet(f"{names['out']}/A_workflow_summary")
+        return {str(r.week_ending): (r.job_instances, r.workflow_score) for r in report.collect()}
+
+    add("2025.07.04", "a.csv", SHEET + "\n" + line(1, 1, "2025-07-01", "A", "A") + line(1, 2, "2025-07-02", "A", "B"), folder)
+    add("2025.07.11", "b.csv", SHEET + "\n" + line(1, 3, "2025-07-08", "A", "a "), folder)
+    assert go()
+    assert scores() == {"2025-07-04": (2, 0.5), "2025-07-11": (1, 1.0)}
+    assert not go()
+    # A late row keeps the reporting week of its folder.
+    add("2025.07.11", "late.csv", SHEET + "\n" + line(2, 4, "2025-07-01", "A", "B"), folder)
+    assert go()
+    assert scores() == {"2025-07-04": (2, 0.5), "2025-07-11": (2, 0.5)}
+    fixed = spark.read.parquet(f"{names['out']}/A_workflow_summary").where("week_ending = '2025-07-11'")
+    override = fixed.withColumn("workflow_score", F.lit(0.25)).withColumn("project_id", F.lit("s1"))
+    daily.override_report(spark.createDataFrame(override.collect(), override.schema), names["out"], "A_workflow_summary")
+    assert scores() == {"2025-07-04": (2, 0.5), "2025-07-11": (2, 0.25)}
+
+
+def test_multi_and_outcome_reports_are_written(spark, sf, tmp_path):
+    for code, view, count in (("M", "v_multi", 5), ("H", "v_outcome", 6)):
+        rows = fx.view(spark, sf, view).withColumn("base", F.lit(code))
+        names = daily.rebuild_reports(spark, rows, code, targets(spark, sf), str(tmp_path))
+        assert len(names) == count
+        assert all(spark.read.parquet(f"{tmp_path}/{n}").count() > 0 for n in names)
