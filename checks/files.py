@@ -34,16 +34,16 @@ LAKE = """select {0} as project_id, reporting_week, {1} as base, {2} as content_
   sum(weight) as weight from {3} group by all"""
 
 
-QUARTER = "cast(date_trunc('quarter', job_date) as date)"
+YEAR = "cast(date_trunc('year', job_date) as date)"
 
 
-@check(LAKE.format("project_id", "'A'", f"FRI({QUARTER})", "v_audit"))
+@check(LAKE.format("project_id", "'A'", f"FRI({YEAR})", "v_audit"))
 def parquet_partition_roundtrip(spark, sf):
     """Write the lake, then write one week's projects again: only their partitions change."""
     path = scratch_path(spark, "lake")
-    # Quarters keep the number of partitions near that of real folders.
-    quarter = clean.content_week(F.expr(QUARTER))
-    rows = audit_long(spark, sf).withColumn("content_week", quarter)
+    # Years keep the number of partitions near that of real folders.
+    year = clean.content_week(F.expr(YEAR))
+    rows = audit_long(spark, sf).withColumn("content_week", year)
     broken = rows.withColumn(
         "weight", F.when(F.col("project_id").endswith("n2"), F.col("weight") + 1).otherwise(F.col("weight"))
     )
@@ -60,9 +60,9 @@ def parquet_partition_roundtrip(spark, sf):
 def partition_scan(spark, sf):
     """One lake of two bases; a scan of one base prunes to its partitions."""
     path = scratch_path(spark, "lake")
-    quarter = clean.content_week(F.expr(QUARTER))
+    year = clean.content_week(F.expr(YEAR))
     for view, base in (("v_audit", "audit"), ("v_multi", "multi")):
-        rows = fx.view(spark, sf, view).withColumn("content_week", quarter)
+        rows = fx.view(spark, sf, view).withColumn("content_week", year)
         lake.write_long(rows, path, base)
     return (
         lake.scan(spark, path, base="multi")

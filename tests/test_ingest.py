@@ -136,8 +136,8 @@ def test_describe_and_scan_files(spark, sf):
 def test_reports_of_changed_weeks_equal_a_full_build(spark, sf, tmp_path):
     """Reports rebuilt for one week after the others equal reports built at once."""
     rows = audit_long(spark, sf).withColumn("content_week", clean.content_week(F.col("job_date")))
-    quarter = F.expr("cast(date_trunc('year', job_date) as date)")
-    lake.write_long(rows.withColumn("content_week", quarter), str(tmp_path / "lake"), "audit")
+    year = F.expr("cast(date_trunc('year', job_date) as date)")
+    lake.write_long(rows.withColumn("content_week", year), str(tmp_path / "lake"), "audit")
     stored = lake.scan(spark, str(tmp_path / "lake"))
     weeks = stored.select("project_id", "reporting_week").distinct()
     last = weeks.agg(F.max("reporting_week")).first()[0]
