@@ -4,6 +4,7 @@ from raterscope.llm import (  # noqa: F401
     mixing,
     quality_rules,
     sharding,
+    simhash,
     url_filters,
 )
 from raterscope.llm.common import ORACLE, QUERIES  # noqa: F401
