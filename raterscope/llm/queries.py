@@ -3,6 +3,7 @@
 from raterscope.llm import (  # noqa: F401
     language_id,
     mixing,
+    quality_classifier,
     quality_rules,
     sharding,
     simhash,
