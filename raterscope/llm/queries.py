@@ -1,6 +1,7 @@
 """All queries of the subpackage; importing their modules registers them."""
 
 from raterscope.llm import (  # noqa: F401
+    bpe,
     language_id,
     mixing,
     quality_classifier,
