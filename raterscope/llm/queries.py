@@ -3,6 +3,7 @@
 from raterscope.llm import (  # noqa: F401
     bpe,
     language_id,
+    license_scan,
     mixing,
     quality_classifier,
     quality_rules,
