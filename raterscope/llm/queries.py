@@ -5,6 +5,7 @@ from raterscope.llm import (  # noqa: F401
     language_id,
     license_scan,
     mixing,
+    neighbours,
     quality_classifier,
     quality_rules,
     sharding,
