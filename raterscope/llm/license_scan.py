@@ -121,20 +121,20 @@ def _compressor(raw: zstandard.ZstdCompressionDict | None = None) -> zstandard.Z
     return zstandard.ZstdCompressor(compression_params=options, dict_data=raw)
 
 
-def differences(part: list[str], whole: list[str]) -> list[str]:
-    """What differs between `part` and the stretch of `whole` that it covers."""
+def differences(part: list[str], whole: list[str]) -> list[tuple[str, str]]:
+    """What differs between `part` and the stretch of `whole` that it covers: words of either."""
     steps = SequenceMatcher(None, whole, part, autojunk=False).get_opcodes()
     out = []
     for place, (kind, a, b, c, d) in enumerate(steps):
         outer = place in (0, len(steps) - 1)
         if kind == "equal" or (kind == "delete" and outer):
             continue
-        out.append(f"{' '.join(whole[a:b])} -> {' '.join(part[c:d])}")
+        out.append((" ".join(part[c:d]), " ".join(whole[a:b])))
     return out
 
 
-def _weigh(found: list[str]) -> int:
-    return sum(max(len(side.split()) for side in f.split(" -> ")) for f in found)
+def _weigh(found: list[tuple[str, str]]) -> int:
+    return sum(max(len(side.split()) for side in pair) for pair in found)
 
 
 @cache
@@ -157,13 +157,15 @@ def _rank(block: tuple[str, ...]) -> tuple[str, float, int, tuple[str, ...]]:
     choices = []
     for saved, place in ranked[:RANKED]:
         name, words, _ = _prepared()[-place]
-        for part, whole in ((list(block), words), (words, list(block))):
+        for turned in (False, True):
+            part, whole = (words, list(block)) if turned else (list(block), words)
             found = differences(part, whole)
             same = len(part) >= LEAST_WORDS and _weigh(found) <= MOST_DIFFERENT * len(part)
-            same = same and not any(c.isdigit() for f in found for c in f)
-            choices.append((not same, _weigh(found), -saved, name, found))
-    other, size, saved, name, found = min(choices)
-    return ("unrecognised" if other else name, -saved, size, tuple(found))
+            same = same and not any(c.isdigit() for pair in found for c in "".join(pair))
+            said = tuple(f"{a} -> {b}" if turned else f"{b} -> {a}" for a, b in found)
+            choices.append((not same, _weigh(found), -saved, name, said))
+    other, size, saved, name, said = min(choices)
+    return ("unrecognised" if other else name, -saved, size, said)
 
 
 def scan_text(text: bytes | None) -> list[dict]:
