@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.functions import metrics as m
 from raterscope.operators import dedupe
 from raterscope.plans import reports
@@ -183,8 +183,6 @@ def audit_error_contribution(spark, sf):
     return reports.audit_error_contribution(audit_long(spark, sf))
 
 
-SAMPLE_ORDER = """workflow nulls last, rater_id nulls last, job_id nulls last, parent_label nulls last,
-  rater_response nulls last, ground_truth nulls last, confusion_type nulls last, is_correct nulls last"""
 SAMPLE_COLUMNS = """week_ending, project_id, workflow, rater_id, job_id, parent_label, rater_response, ground_truth,
   confusion_type, is_correct"""
 
@@ -193,9 +191,8 @@ SAMPLE_COLUMNS = """week_ending, project_id, workflow, rater_id, job_id, parent_
 d as (select week_ending, project_id, workflow, rater_id, job_id, parent_label,
     coalesce(nullif(rater_response, ''), '<empty>') as rater_response,
     coalesce(nullif(auditor_response, ''), '<empty>') as ground_truth, confusion_type, is_correct
-  from alldata where not is_correct),
-n as (select *, row_number() over (partition by week_ending, project_id order by {SAMPLE_ORDER}) as k from d)
-select {SAMPLE_COLUMNS} from n where k <= 500""")
+  from alldata where not is_correct)
+select {SAMPLE_COLUMNS} from d""")
 def audit_incorrect_sample(spark, sf):
     return reports.audit_incorrect_sample(audit_long(spark, sf))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.functions import clean
 from raterscope.plans import layouts_labels as ll
 

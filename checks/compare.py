@@ -13,7 +13,7 @@ from decimal import Decimal
 
 import duckdb
 
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.audit import audit_long
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.functions import clean
 from raterscope.session import scratch_path
 from raterscope.sources import files as ff

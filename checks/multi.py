@@ -1,8 +1,8 @@
 """Consensus and the multi-review reports."""
 
-from checks.audit import SAMPLE_COLUMNS, SAMPLE_ORDER, rounded, scores, targets
+from checks.audit import SAMPLE_COLUMNS, rounded, scores, targets
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.operators import consensus, dedupe
 from raterscope.plans import reports
 
@@ -102,8 +102,7 @@ def multi_error_contribution(spark, sf):
 d as (select week_ending, project_id, workflow, rater_id, job_id, parent_label,
     coalesce(nullif(rater_response, ''), '<empty>') as rater_response,
     coalesce(nullif(consensus_response, ''), '<empty>') as ground_truth, '' as confusion_type, false as is_correct
-  from c where is_agreeing = 0),
-n as (select *, row_number() over (partition by week_ending, project_id order by {SAMPLE_ORDER}) as k from d)
-select {SAMPLE_COLUMNS} from n where k <= 500""")
+  from c where is_agreeing = 0)
+select {SAMPLE_COLUMNS} from d""")
 def multi_incorrect_sample(spark, sf):
     return reports.multi_incorrect_sample(multi_long(spark, sf))

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from checks.audit import SAMPLE_COLUMNS, SAMPLE_ORDER, scores, targets
+from checks.audit import SAMPLE_COLUMNS, scores, targets
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.functions import clean
 from raterscope.operators import rubric as rb
 from raterscope.plans import reports
@@ -82,9 +82,8 @@ def outcome_error_contribution(spark, sf):
 @check(f"""with {UNIQUE},
 d as (select distinct week_ending, project_id, workflow, rater_id, job_id, 'default_label' as parent_label,
     'n/a' as rater_response, 'Incorrect Annotation' as ground_truth, '' as confusion_type, job_correct as is_correct
-  from u where not job_correct),
-n as (select *, row_number() over (partition by week_ending, project_id order by {SAMPLE_ORDER}) as k from d)
-select {SAMPLE_COLUMNS} from n where k <= 500""")
+  from u where not job_correct)
+select {SAMPLE_COLUMNS} from d""")
 def outcome_incorrect_sample(spark, sf):
     return reports.outcome_incorrect_sample(outcome_long(spark, sf))
 

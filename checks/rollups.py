@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.audit import CELLS, ALLDATA, audit_long, quality
 from checks.multi import UNIQUE as MULTI_UNIQUE
 from checks.registry import check
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.functions import clean
 from raterscope.functions import metrics as m
 from raterscope.plans import reports, rollups

@@ -24,47 +24,61 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # --- dates and weeks ---------------------------------------------------------------
 
 
+# Month names, in order; the first three letters stand for each.
+MONTHS = [
+    "january", "february", "march", "april", "may", "june", "july", "august", "september",
+    "october", "november", "december",
+]
+_MONTH = "((?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + r"|sept)\b\.?)"
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_WEEKDAY = r"^(?i)(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+)?"
+_CLOCK = r"(?:[,\s]+\d{1,2}:\d{2}.*)?$"
+
+#: Spellings of a date: a pattern, and year, month and day taken from its groups.
+_NUMERIC = [
+    (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:[T ].*)?$", "$1-$2-$3"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?:[T ,].*)?$", "$3-$1-$2"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.]([0-5]\d|6[0-8])(?:[T ,].*)?$", "20$3-$1-$2"),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](69|[7-9]\d)(?:[T ,].*)?$", "19$3-$1-$2"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+]
+_NAMED = [
+    (_WEEKDAY + _MONTH + r"[,\s]+" + _DAY + r"[,\s]+(\d{4})" + _CLOCK, "$3-$1-$2"),
+    (_WEEKDAY + _DAY + r"[,\s]+" + _MONTH + r"[,\s]+(\d{4})" + _CLOCK, "$3-$2-$1"),
+]
+
+
 def lenient_date(raw: Column) -> Column:
     """Date from the accepted spellings, else null.
 
     Accepts year-first and month-first numeric dates (day first where the first number
-    exceeds 12) with an optional time, compact yyyyMMdd, month names in either order, and
-    spreadsheet serial numbers.
+    exceeds 12; years of two digits from 1969 on) with an optional time, compact yyyyMMdd,
+    month names in either order with ordinals, and spreadsheet serial numbers. Wrap it in
+    `once` where a filter follows.
     """
     text = F.trim(raw)
-    year_first = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})([T ].*)?$"
-    year_last = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})([T ,].*)?$"
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(text, pattern, group)
 
-    def ymd(pattern: str, y: int, m: int, d: int) -> Column:
-        return F.try_to_date(
-            F.concat_ws("-", part(pattern, y), part(pattern, m), part(pattern, d)), "yyyy-M-d"
+    def spelled(spellings) -> Column:
+        """The parts in the order year-month-day, of the first pattern that fits."""
+        return F.coalesce(
+            *[F.when(text.rlike(p), F.regexp_replace(text, p, parts)) for p, parts in spellings]
         )
 
-    named = F.regexp_replace(text, r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    named = F.regexp_replace(named, r"(?i)\s+\d{1,2}:\d{2}.*$", "")
-    named = F.initcap(F.regexp_replace(named, r"[,\s]+", " "))
-    serial = text.rlike(r"^\d{5}(\.\d+)?$")
-    return (
-        F.when(text.rlike(year_first), ymd(year_first, 1, 2, 3))
-        .when(
-            text.rlike(year_last),
-            F.coalesce(ymd(year_last, 3, 1, 2), ymd(year_last, 3, 2, 1)),
-        )
-        .when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
-        .when(
-            serial,
-            F.date_add(
-                F.lit(EXCEL_EPOCH).cast("date"), F.floor(text.try_cast("double")).cast("int")
-            ),
-        )
-        .when(
-            text.rlike(r"[A-Za-z]{3}"),
-            F.coalesce(
-                *[F.try_to_date(named, f) for f in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]
-            ),
+    parts = F.split(spelled(_NAMED), "-")
+    short = F.lower(F.substring(F.get(parts, F.lit(1)), 1, 3))
+    place = F.instr(F.lit("".join(m[:3] for m in MONTHS)), short)
+    number_of = ((place + 2) / 3).cast("int").cast("string")
+    named = F.concat_ws("-", F.get(parts, F.lit(0)), number_of, F.get(parts, F.lit(2)))
+    candidate = F.when(text.rlike("[A-Za-z]{3}") & ~text.rlike(r"^\d{4}"), named).otherwise(spelled(_NUMERIC))
+    day_first = F.regexp_replace(candidate, r"^(\d{4})-(\d+)-(\d+)$", "$1-$3-$2")
+    serial = F.floor(text.try_cast("double")).cast("int")
+    return F.when(
+        text.rlike(r"^\d{5}(\.\d+)?$"), F.date_add(F.lit(EXCEL_EPOCH).cast("date"), serial)
+    ).otherwise(
+        F.coalesce(
+            F.try_to_date(candidate, "yyyy-M-d"),
+            # only dates that start with month or day may be turned
+            F.when(text.rlike(r"^\d{1,2}[-/.]"), F.try_to_date(day_first, "yyyy-M-d")),
         )
     )
 
@@ -244,6 +258,17 @@ def outcome_flag(raw: Column, positive: str, case_sensitive: bool = True) -> Col
     return F.when(F.coalesce(text, F.lit("")) != "", hit)
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns that are computed once per row.
+
+    Filters and further columns use the made values: Catalyst does not copy the expressions
+    out of a generator, as it copies those of a projection into the filters above it.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*rest, F.inline(F.array(made)))
+
+
 # --- reject accounting -----------------------------------------------------------------
 
 

@@ -64,7 +64,7 @@ def _seeds(items: DataFrame, scope: list[str], provided: dict[str, float]) -> Da
 
 
 def _solve_round(items: DataFrame, known: DataFrame, scope: list[str]) -> DataFrame:
-    joined = attach(items, known, scope + ["entry"], ["row_id"])
+    joined = attach(items, known, scope + ["entry"])
     penalty = F.col("penalty")
     open_entry = penalty.isNull()
     per_record = joined.groupBy(*scope, "row_id").agg(

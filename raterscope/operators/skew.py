@@ -1,15 +1,17 @@
 """Joins that stay balanced when a few keys hold much of the data.
 
-`lookup` joins fact rows to a table with one row per key and a size column. Keys above
-`ROWS_PER_SLICE` rows are cut into slices: the fact row picks a slice by hashing other
-columns, and the table row is repeated once per slice. Only the names of the largest
-`MAX_HOT_KEYS` keys are broadcast. A key outside that list holds less than
-1 / MAX_HOT_KEYS of the rows, so it needs no slicing.
-
-`attach` joins a dimension: broadcast when a counted size check passes, else `lookup`.
-
-The joins compare keys null-safely. Besides treating null as a key of its own, this keeps
-Spark from adding not-null filters to one side, so a table aggregated from the fact rows
+`lookup` joins fact rows to a table with one row per key and a size column. Every key above
+`ROWS_PER_SLICE` rows is cut into slices: the fact row picks a slice by hashing other
+columns, and the table row is repeated once per slice. The keys that are cut and their slice
+counts are broadcast; there are at most (all rows / ROWS_PER_SLICE) of them, which is half a
+million for a trillion rows.
+
+`attach` joins a dimension and leaves the strategy to Catalyst: a broadcast where the
+optimizer knows the dimension to be small, else a sort-merge join whose large partitions
+adaptive execution splits.
+
+The joins of `lookup` compare keys null-safely. Besides treating null as a key of its own, this
+keeps Spark from adding not-null filters to one side, so a table aggregated from the fact rows
 reuses the shuffle of those rows.
 """
 
@@ -23,8 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 2_000_000
-MAX_HOT_KEYS = 4096
-MAX_BROADCAST_ROWS = 200_000
 
 
 def join_null_safe(
@@ -50,12 +50,9 @@ def join_null_safe(
 
 
 def hot_keys(sizes: DataFrame, keys: Sequence[str], size: str, rows_per_slice: int) -> DataFrame:
-    """The largest keys with their slice count: at most MAX_HOT_KEYS rows."""
-    return (
-        sizes.where(F.col(size) > rows_per_slice)
-        .orderBy(F.col(size).desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col(size) / rows_per_slice).cast("int").alias("_slices"))
+    """All keys above `rows_per_slice` rows, with their slice count."""
+    return sizes.where(F.col(size) > rows_per_slice).select(
+        *keys, F.ceil(F.col(size) / rows_per_slice).cast("int").alias("_slices")
     )
 
 
@@ -88,21 +85,10 @@ def lookup(
 
 
 def attach(
-    rows: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-    max_broadcast_rows: int | None = None,
-    rows_per_slice: int | None = None,
+    rows: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join a dimension that is unique on `keys`, broadcasting it only if it is small."""
+    """Join a dimension that is unique on `keys`: the columns of `rows`, then its others."""
     keys = list(keys)
-    dimension = dimension.dropna(subset=keys)
-    bound = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    if dimension.limit(bound + 1).count() <= bound:
-        return rows.join(F.broadcast(dimension), keys, how)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return lookup(
-        rows, dimension, keys, "_rows", spread, how, rows_per_slice=rows_per_slice, sizes=sizes
-    )
+    joined = rows.join(dimension.dropna(subset=keys), keys, how)
+    more = [] if how in ("left_semi", "left_anti") else [c for c in dimension.columns if c not in keys]
+    return joined.select(*[F.col(f"`{c}`") for c in (*rows.columns, *more)])

@@ -73,13 +73,13 @@ def map_emails(df: DataFrame, emails: DataFrame, column: str = "Email") -> DataF
     """Add `srtid` by e-mail (`emails`: email, rater_id); rows without a match are dropped."""
     keyed = df.withColumn("_email", F.lower(F.trim(F.col(column))))
     ids = emails.select(F.col("email").alias("_email"), F.col("rater_id").alias("srtid"))
-    return attach(keyed, ids, ["_email"], [column, *keyed.columns[:2]], "inner").drop("_email")
+    return attach(keyed, ids, ["_email"], "inner").drop("_email")
 
 
 def workflow_from_roster(long: DataFrame, roster: DataFrame) -> DataFrame:
     """Replace the workflow by the rater's market; raters outside the roster are dropped."""
     markets = roster.select("rater_id", F.col("market").alias("_market"))
-    joined = attach(long.drop("workflow"), markets, ["rater_id"], ["job_id"], "inner")
+    joined = attach(long.drop("workflow"), markets, ["rater_id"], "inner")
     return joined.withColumnRenamed("_market", "workflow").select(*long.columns)
 
 
@@ -88,8 +88,6 @@ UNMAPPED = "UNMAPPED"
 
 def roster_counts(long: DataFrame, roster: DataFrame) -> DataFrame:
     """Rows per market, with rows of raters outside the roster under UNMAPPED."""
-    joined = attach(
-        long.select("rater_id", "job_id"), roster.select("rater_id", "market"), ["rater_id"], ["job_id"]
-    )
+    joined = attach(long.select("rater_id"), roster.select("rater_id", "market"), ["rater_id"])
     market = F.coalesce(F.col("market"), F.lit(UNMAPPED)).alias("market")
     return joined.groupBy(market).agg(F.count("*").alias("row_count"))

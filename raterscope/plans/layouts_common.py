@@ -31,9 +31,17 @@ def positions(df: DataFrame) -> list[str]:
     return [c for c in POSITION if c in df.columns]
 
 
-def id_checks(df: DataFrame, names: Sequence[str], strip: bool = False) -> DataFrame:
-    """Replace ids by their valid form (null when invalid)."""
-    return df.withColumns({n: clean.valid_id(F.col(n), strip) for n in names})
+def checked(
+    df: DataFrame, ids: Sequence[str], day: Column, strip: bool = False, **more: Column
+) -> DataFrame:
+    """Replace ids by their valid form (null when invalid) and add `job_date`, each made once."""
+    made = {n: clean.valid_id(F.col(n), strip) for n in ids}
+    return clean.once(df, made | {"job_date": clean.lenient_date(day)} | more)
+
+
+def rule(key: str, *fallbacks: str, required: bool = True) -> dict:
+    """A role's configuration key and default headers."""
+    return {"config_key": f"{key}_column", "fallbacks": list(fallbacks), "required": required}
 
 
 def any_null(names: Sequence[str]) -> Column:

@@ -15,8 +15,9 @@ from raterscope.plans.layouts_common import (
     audit_flags,
     blank,
     carried,
-    id_checks,
+    checked,
     positions,
+    rule,
     with_source,
 )
 from raterscope.session import stored
@@ -42,30 +43,35 @@ def tag_decision_json(df: DataFrame, config: dict) -> DataFrame:
     typed = df.select(
         *carried(df),
         *positions(df),
-        clean.lenient_date(F.col("review_ds")).alias("job_date"),
+        "review_ds",
         *[F.col(source).alias(name) for name, source in columns.items()],
         *[F.col(source).alias(f"{side}_text") for side, source in sides.items()],
     )
-    typed = id_checks(typed, ids)
+    typed = checked(typed, ids, F.col("review_ds")).drop("review_ds")
     if "auditor" in sides and config.get("ignore_missing_auditor_id", False):
         typed = typed.withColumn("auditor_id", clean.auditor_or_placeholder(F.col("auditor_id")))
-    parse = payload.flat_labels if extracted else payload.decision_labels
-    parsed = typed.withColumns({f"{side}_labels": parse(F.col(f"{side}_text")) for side in sides})
     queues = list(config.get("excluded_queues", []))
     excluded = F.coalesce(F.col("workflow").isin(queues), F.lit(False)) if queues else F.lit(False)
     empty = F.lit(False)
     for side in sides:
         empty = empty | blank(f"{side}_text")
-    return clean.tag_rejects(
-        parsed,
-        [
-            ("invalid_date", F.col("job_date").isNull()),
-            ("invalid_id", any_null(ids)),
-            ("empty_payload", empty),
-            ("excluded_queue", excluded),
-            ("invalid_json", any_null([f"{side}_labels" for side in sides])),
-        ],
-    ).drop(*[f"{side}_text" for side in sides])
+    cheap = [
+        ("invalid_date", F.col("job_date").isNull()),
+        ("invalid_id", any_null(ids)),
+        ("empty_payload", empty),
+        ("excluded_queue", excluded),
+    ]
+    # payloads are parsed only of rows that pass all other checks
+    parse = payload.flat_labels if extracted else payload.decision_labels
+    passed = clean.tag_rejects(typed, cheap).withColumnRenamed("reject_reason", "_cheap")
+    parsed = clean.once(
+        passed,
+        {f"{s}_labels": F.when(F.col("_cheap").isNull(), parse(F.col(f"{s}_text"))) for s in sides},
+    )
+    broken = any_null([f"{side}_labels" for side in sides])
+    return parsed.withColumn(
+        "reject_reason", F.coalesce("_cheap", F.when(broken, F.lit("invalid_json")))
+    ).drop("_cheap", *[f"{side}_text" for side in sides])
 
 
 def normalize_decision_json(df: DataFrame, config: dict) -> DataFrame:
@@ -105,30 +111,36 @@ COMBINED_ROUTING = "combined_routing"
 def tag_auditor_keyed_json(df: DataFrame) -> DataFrame:
     """Last row per file, rater and job, with its reject reason."""
     df = with_source(clean.strip_header(df))
-    keyed = payload.auditor_keyed_labels(F.col("auditor_decision_data"))
-    typed = df.select(
+    typed = df.where(~F.col("routing_name").eqNullSafe(COMBINED_ROUTING)).select(
         *carried(df),
         *positions(df),
-        clean.lenient_date(F.col("sample_ds")).alias("job_date"),
+        "sample_ds",
         F.col("routing_name").alias("workflow"),
         F.col("entity_id").alias("job_id"),
         "rater_id",
-        payload.listed_labels(F.col("rater_decision_data")).alias("rater_labels"),
-        keyed.alias("keyed"),
-    ).where(~F.col("workflow").eqNullSafe(COMBINED_ROUTING))
+        "rater_decision_data",
+        "auditor_decision_data",
+    )
+    typed = clean.once(typed, {"job_date": clean.lenient_date(F.col("sample_ds"))}).drop("sample_ds")
     # Undated rows are dropped before the dedupe, so they sort last and are counted after it.
     order = [F.col("job_date").isNotNull().desc()] + [F.col(c).desc() for c in positions(typed)]
     last = dedupe.top_per_group(typed, carried(typed) + ["rater_id", "job_id"], order, 1)
-    checked = last.withColumns(
+    # payloads are parsed after the dedupe, and only of dated rows
+    dated = F.col("job_date").isNotNull()
+    parsed = clean.once(
+        last,
         {
-            "auditor_id": F.col("keyed.auditor_id"),
-            "auditor_labels": F.col("keyed.labels"),
+            "rater_labels": F.when(dated, payload.listed_labels(F.col("rater_decision_data"))),
+            "keyed": F.when(dated, payload.auditor_keyed_labels(F.col("auditor_decision_data"))),
             "rater_id": clean.valid_id(F.col("rater_id")),
             "job_id": clean.valid_id(F.col("job_id")),
-        }
-    ).drop("keyed")
+        },
+    )
+    typed = parsed.withColumns(
+        {"auditor_id": F.col("keyed.auditor_id"), "auditor_labels": F.col("keyed.labels")}
+    ).drop("keyed", "rater_decision_data", "auditor_decision_data")
     return clean.tag_rejects(
-        checked,
+        typed,
         [
             ("invalid_date", F.col("job_date").isNull()),
             ("invalid_json", any_null(["rater_labels", "auditor_labels"])),
@@ -162,28 +174,24 @@ def normalize_auditor_keyed_json(df: DataFrame, config: dict) -> DataFrame:
 # --- long audit rows -------------------------------------------------------------------
 
 
-def _rule(key: str, *fallbacks: str, required: bool = True) -> dict:
-    return {"config_key": f"{key}_column", "fallbacks": list(fallbacks), "required": required}
-
-
 # Configuration keys and default headers of the long audit layout.
 LONG_AUDIT_RULES = {
-    "rater_id": _rule("actor_id", "actor_id"),
-    "auditor_id": _rule("reviewer_id", "reviewer_id"),
-    "rater_response": _rule("actor_response", "actor_answer"),
-    "auditor_response": _rule("reviewer_response", "reviewer_answer"),
-    "job_date": _rule("job_date", "job_date"),
-    "job_id": _rule("job_id", "job_id"),
-    "workflow": _rule("workflow", "queue", required=False),
-    "parent_label": _rule("label", "label"),
+    "rater_id": rule("actor_id", "actor_id"),
+    "auditor_id": rule("reviewer_id", "reviewer_id"),
+    "rater_response": rule("actor_response", "actor_answer"),
+    "auditor_response": rule("reviewer_response", "reviewer_answer"),
+    "job_date": rule("job_date", "job_date"),
+    "job_id": rule("job_id", "job_id"),
+    "workflow": rule("workflow", "queue", required=False),
+    "parent_label": rule("label", "label"),
 }
 
 
 def tag_long_audit(df: DataFrame, config: dict) -> DataFrame:
     df = clean.map_columns(df, LONG_AUDIT_RULES, config.get("info_columns"))
     ids = ["rater_id", "auditor_id", "job_id"]
-    typed = id_checks(df.select(*carried(df), *LONG_AUDIT_RULES), ids, strip=True).withColumn(
-        "job_date", clean.lenient_date(F.col("job_date"))
+    typed = checked(
+        df.select(*carried(df), *LONG_AUDIT_RULES), ids, F.col("job_date"), strip=True
     )
     return clean.tag_rejects(
         typed, [("invalid_date", F.col("job_date").isNull()), ("invalid_id", any_null(ids))]
@@ -225,13 +233,15 @@ def tag_by_config(df: DataFrame, config: dict) -> DataFrame:
     workflow = info.get("workflow_column")
     made["workflow"] = F.col(f"`{workflow}`") if workflow else F.lit(clean.DEFAULT_WORKFLOW)
     day = info.get("job_date_column")
-    made["job_date"] = (
-        clean.lenient_date(F.col(f"`{day}`"))
-        if day
-        else F.lit(config.get("reporting_week")).cast("date")
-    )
+    if day:
+        made["job_date"] = clean.lenient_date(F.col(f"`{day}`"))
+    elif config.get("reporting_week"):
+        made["job_date"] = F.lit(config["reporting_week"]).cast("date")
+    else:  # a layout without dates is dated by the week it was delivered for
+        week = F.col("reporting_week") if "reporting_week" in df.columns else F.lit(None)
+        made["job_date"] = week.cast("date")
     return clean.tag_rejects(
-        df.withColumns(made),
+        clean.once(df, made),
         [("invalid_date", F.col("job_date").isNull()), ("invalid_id", any_null(ids))],
     )
 
@@ -391,10 +401,10 @@ def _is_text(name: str, value: str) -> Column:
 def tag_adhoc_relevance(df: DataFrame) -> DataFrame:
     df = df.withColumnsRenamed(
         {"actor_id": "rater_id", "_worker_id": "auditor_id", "_country": "workflow"}
-    ).withColumn("job_date", clean.lenient_date(F.col("review_ds")))
+    )
     ids = ["job_id", "rater_id", "auditor_id"]
     return clean.tag_rejects(
-        id_checks(df, ids),
+        checked(df, ids, F.col("review_ds")),
         [
             ("invalid_date", F.col("job_date").isNull()),
             ("not_reviewed", ~_is_text("q1_ad_load", "yes")),

@@ -7,23 +7,19 @@ from pyspark.sql import functions as F
 
 from raterscope.functions import clean, payload
 from raterscope.operators import rubric as rb
-from raterscope.plans.layouts_common import any_null, carried, id_checks, positions, with_source
+from raterscope.plans.layouts_common import any_null, carried, checked, positions, rule, with_source
 from raterscope.session import stored
 
 
-def _rule(key: str, *fallbacks: str, required: bool = True) -> dict:
-    return {"config_key": f"{key}_column", "fallbacks": list(fallbacks), "required": required}
-
-
 # Configuration keys and default headers of the wide rubric layout.
 WIDE_RULES = {
-    "rater_id": _rule("rater_id", "SRT Annotator ID"),
-    "auditor_id": _rule("auditor_id", "Vendor Auditor ID"),
-    "job_date": _rule("submission_date", "Time (PT)"),
-    "job_id": _rule("job_id", "SRT Job ID"),
-    "status": _rule("vendor_tag", "Vendor Tag"),
-    "workflow": _rule("workflow", "Rubric Name", "Queue Name", required=False),
-    "manual_score": _rule("manual_score", "Vendor Manual QA Score", required=False),
+    "rater_id": rule("rater_id", "SRT Annotator ID"),
+    "auditor_id": rule("auditor_id", "Vendor Auditor ID"),
+    "job_date": rule("submission_date", "Time (PT)"),
+    "job_id": rule("job_id", "SRT Job ID"),
+    "status": rule("vendor_tag", "Vendor Tag"),
+    "workflow": rule("workflow", "Rubric Name", "Queue Name", required=False),
+    "manual_score": rule("manual_score", "Vendor Manual QA Score", required=False),
 }
 
 # Headers of the wide rubric layout that are not rubric entries.
@@ -36,14 +32,14 @@ WIDE_INFO_COLUMNS = [
 
 # Configuration keys and default headers of the JSON rubric layout.
 JSON_RULES = {
-    "rater_id": _rule("rater_id", "annotator_id"),
-    "auditor_id": _rule("auditor_id", "auditor_id"),
-    "job_date": _rule("submission_date", "original_submission_time"),
-    "job_id": _rule("job_id", "task_id"),
-    "status": _rule("audit_status", "audit_status"),
-    "workflow": _rule("workflow", "task_name", required=False),
-    "manual_score": _rule("manual_score", "QA_score", required=False),
-    "job_rubric": _rule("rubric", "rubric_answer", required=False),
+    "rater_id": rule("rater_id", "annotator_id"),
+    "auditor_id": rule("auditor_id", "auditor_id"),
+    "job_date": rule("submission_date", "original_submission_time"),
+    "job_id": rule("job_id", "task_id"),
+    "status": rule("audit_status", "audit_status"),
+    "workflow": rule("workflow", "task_name", required=False),
+    "manual_score": rule("manual_score", "QA_score", required=False),
+    "job_rubric": rule("rubric", "rubric_answer", required=False),
 }
 
 WIDE_APPROVED = "Approved"
@@ -98,9 +94,7 @@ def _tag(mapped: DataFrame, config: dict) -> DataFrame:
         checks.append(("self_audit", F.col("_same_person")))
     ids = ["rater_id", "auditor_id", "job_id"]
     typed = mapped.withColumn("_same_person", F.col("auditor_id").eqNullSafe(F.col("rater_id")))
-    typed = id_checks(typed, ids, strip=True).withColumns(
-        {"job_date": clean.lenient_date(F.col("job_date")), "status": F.trim("status")}
-    )
+    typed = checked(typed, ids, F.col("job_date"), strip=True, status=F.trim("status"))
     checks += [
         ("invalid_date", F.col("job_date").isNull()),
         ("invalid_id", any_null(ids)),

@@ -20,7 +20,6 @@ from raterscope.operators.skew import attach, join_null_safe, lookup
 DEFAULT_LABEL = "default_label"
 PIPELINE_ERROR_LABEL = "pipeline_error"
 EMPTY_TEXT = "<empty>"
-SAMPLE_ROWS = 500
 
 PROJECT = ["week_ending", "project_id"]
 WORKFLOW = PROJECT + ["workflow"]
@@ -144,7 +143,7 @@ def _workflow_report(
     scored: DataFrame, targets: DataFrame, auditors: DataFrame | None
 ) -> DataFrame:
     """Rater rows to workflow rows; the project score is the plain mean of workflows."""
-    with_target = attach(scored, targets, ["project_id"], ["rater_id"])
+    with_target = attach(scored, targets, ["project_id"])
     target = F.col("target")
     workflow_scores = [m.ratio(F.sum("correct_labels"), F.sum("tot_labels")).alias("workflow_score")]
     if "rater_precision" in scored.columns:
@@ -353,7 +352,7 @@ def _error_report(wrong: DataFrame) -> DataFrame:
 
 
 def audit_incorrect_sample(
-    rows: DataFrame, prepared: bool = False, n: int = SAMPLE_ROWS
+    rows: DataFrame, prepared: bool = False, n: int | None = None
 ) -> DataFrame:
     rows = rows if prepared else audit_rows(rows)
     wrong = rows.where(~F.col("is_correct")).withColumn("ground_truth", F.col("auditor_response"))
@@ -361,7 +360,7 @@ def audit_incorrect_sample(
 
 
 def multi_incorrect_sample(
-    rows: DataFrame, prepared: bool = False, n: int = SAMPLE_ROWS
+    rows: DataFrame, prepared: bool = False, n: int | None = None
 ) -> DataFrame:
     rows = rows if prepared else multi_rows(rows)
     wrong = rows.where(F.col("is_agreeing") == 0).withColumns(
@@ -375,7 +374,7 @@ def multi_incorrect_sample(
 
 
 def outcome_incorrect_sample(
-    rows: DataFrame, prepared: bool = False, n: int = SAMPLE_ROWS
+    rows: DataFrame, prepared: bool = False, n: int | None = None
 ) -> DataFrame:
     rows = rows if prepared else outcome_rows(rows)
     wrong = rows.where(~F.col("job_correct")).withColumns(
@@ -389,8 +388,8 @@ def outcome_incorrect_sample(
     return _sample(wrong.select(*distinct_keys, "confusion_type", "is_correct").distinct(), n)
 
 
-def _sample(wrong: DataFrame, n: int) -> DataFrame:
-    """First `n` rows of each week and project, in a total order."""
+def _sample(wrong: DataFrame, n: int | None) -> DataFrame:
+    """All wrong rows, or the first `n` of each week and project in a total order."""
     columns = [
         "week_ending", "project_id", "workflow", "rater_id", "job_id", "parent_label",
         "rater_response", "ground_truth", "confusion_type", "is_correct",
@@ -398,6 +397,8 @@ def _sample(wrong: DataFrame, n: int) -> DataFrame:
     shown = wrong.withColumns(
         {c: _blank_to_text(c) for c in ("rater_response", "ground_truth")}
     ).select(*columns)
+    if n is None:
+        return shown
     order = [F.col(c).asc_nulls_last() for c in columns[2:]]
     return dedupe.top_per_group(shown, PROJECT, order, n)
 

@@ -32,8 +32,7 @@ class MarketConfig:
 def latest_sample(df: DataFrame) -> DataFrame:
     """Rows of the last sample date of each label family."""
     last = df.groupBy("main_label").agg(F.max("sample_ds").alias("_last"))
-    spread = [c for c in df.columns if c != "main_label"][:3]
-    return attach(df, last, ["main_label"], spread).where("sample_ds = _last").drop("_last")
+    return attach(df, last, ["main_label"]).where("sample_ds = _last").drop("_last")
 
 
 def _language(config: MarketConfig) -> Column:
@@ -292,7 +291,7 @@ def contributor_rollup(
         "project_id", "project_name", F.lower("project_metric").alias("_metric"),
         F.col("target").alias("target_goal"),
     )
-    joined = attach(rater_reports, info, ["project_id"], ["rater_id", "parent_label"], "inner")
+    joined = attach(rater_reports, info, ["project_id"], "inner")
     keys = ["week_ending", "project_id", "segment", "rater_id"]
     split = joined.withColumns(
         {"segment": project_segment(F.col("project_id")), "project_id": project_main(F.col("project_id"))}
@@ -351,7 +350,7 @@ def new_entries(
     """Catalogue entries absent from the map, with the project name; other map columns blank."""
     keys = ["project_id", column]
     fresh = catalog.join(known.select(*keys).distinct(), keys, "left_anti")
-    named = attach(fresh, projects.select("project_id", "project_name"), ["project_id"], [column])
+    named = attach(fresh, projects.select("project_id", "project_name"), ["project_id"])
     others = [c for c in known.columns if c not in ("project_id", "project_name", column)]
     return named.select(
         "project_name", *keys, *[F.lit("").alias(c) for c in others]

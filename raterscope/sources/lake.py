@@ -27,13 +27,14 @@ def read_raw_csv(
     columns: Sequence[str],
     permissive: bool = False,
     multiline: bool = True,
+    spread_rows: bool = False,
 ) -> DataFrame:
     """CSV with every column a string, blanks as '', and each row's file and position.
 
     The strict parse fails on malformed lines. The permissive one reads backslash escapes
     and Latin-1, for files whose header `needs_permissive_parse`. `multiline=False` lets
     Spark split files that have no line breaks inside quotes; a file that cannot be split is
-    read by one task and its rows are then spread.
+    read by one task. `spread_rows` then deals its rows to all cores, at the price of a shuffle.
     """
     reader = (
         spark.read.schema(string_schema(columns))
@@ -48,7 +49,8 @@ def read_raw_csv(
         reader = reader.option("escape", "\\").option("encoding", "ISO-8859-1")
     else:
         reader = reader.option("escape", '"')
-    return spread(with_positions(reader.csv(paths)).na.fill("", list(columns)))
+    rows = with_positions(reader.csv(paths)).na.fill("", list(columns))
+    return spread(rows) if spread_rows else rows
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -125,8 +125,7 @@ def files_to_enqueue(
 def active_only(entries: DataFrame, projects: DataFrame) -> DataFrame:
     """Entries of projects whose status is Active."""
     active = projects.where(F.col("project_status") == "Active").select("project_id")
-    spread_by = [c for c in entries.columns if c != "project_id"][:3]
-    return attach(entries, active, ["project_id"], spread_by, "left_semi")
+    return attach(entries, active, ["project_id"], "left_semi")
 
 
 # --- event log --------------------------------------------------------------------------

@@ -97,8 +97,7 @@ def ingest_new_files(
 
 def affected_rows(lake_rows: DataFrame, weeks: DataFrame) -> DataFrame:
     """Lake rows of the touched project-weeks; partition pruning reads only those."""
-    spread_by = [c for c in ("job_id", "rater_id") if c in lake_rows.columns]
-    return attach(lake_rows, weeks, WEEK, spread_by, "left_semi")
+    return attach(lake_rows, weeks, WEEK, "left_semi")
 
 
 def write_report(report: DataFrame, root: str, name: str) -> None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.audit import audit_long, targets
-from raterscope import fixtures as fx
+from checks import fixtures as fx
 from raterscope.plans import daily, layouts_labels, reports
 from raterscope.functions import clean
 from raterscope.sources import files, lake, ledger

@@ -28,21 +28,22 @@ def test_lookup_equals_plain_join(facts):
     assert got.where("key is null and n is null").count() == 0
 
 
-def test_hot_key_is_cut(facts):
+def test_every_hot_key_is_cut(facts):
     sizes = facts.groupBy("key").agg(F.count("*").alias("n"))
     hot = {r.key: r._slices for r in skew.hot_keys(sizes, ["key"], "n", 100).collect()}
     assert hot == {"hot": 10}
-
-
-def test_attach_beyond_the_broadcast_bound(facts):
-    dim = facts.where("key is not null").select("key").distinct().withColumn("name", F.upper("key"))
-    small = skew.attach(facts, dim, ["key"], ["id"])
-    large = skew.attach(facts, dim, ["key"], ["id"], max_broadcast_rows=5, rows_per_slice=100)
-    columns = ["id", "key", "name"]
-    assert rows_of(small.select(columns)) == rows_of(large.select(columns))
-    assert "BroadcastHashJoin" in plan(small)
-    inner = skew.attach(facts, dim, ["key"], ["id"], "inner", max_broadcast_rows=5, rows_per_slice=100)
-    assert inner.count() == facts.where("key is not null").count()
+    all_of_them = {r.key for r in skew.hot_keys(sizes, ["key"], "n", 5).collect()}
+    assert all_of_them == {r.key for r in sizes.where("n > 5").collect()}
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_attach_gives_the_same_rows_and_columns_for_any_strategy(spark, facts, how):
+    dim = facts.where("key is not null").select(F.upper("key").alias("name"), "key").distinct()
+    small = skew.attach(facts, dim.hint("broadcast"), ["key"], how)
+    large = skew.attach(facts, dim.hint("merge"), ["key"], how)
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+    assert small.columns == large.columns == ["id", "key", *([] if how == "left_semi" else ["name"])]
+    assert rows_of(small) == rows_of(large)
 
 
 def plan(df):
