@@ -6,9 +6,9 @@ from checks.audit import audit_long
 from checks.registry import check
 from checks import fixtures as fx
 from raterscope.functions import clean
-from raterscope.session import scratch_path
+from raterscope.session import scratch_path, stored
 from raterscope.sources import files as ff
-from raterscope.sources import lake, ledger
+from raterscope.sources import lake, ledger, raw
 from raterscope.streaming import incremental
 
 # --- readers and sinks -------------------------------------------------------------------
@@ -56,14 +56,18 @@ def parquet_partition_roundtrip(spark, sf):
     )
 
 
-@check("""select project_id, reporting_week, count(*) as row_count, sum(weight) as weight from v_multi group by all""")
+@check("""select case project_id when 'm0' then '007' when 'm1' then '12E4' else project_id end as project_id, reporting_week,
+  count(*) as row_count, sum(weight) as weight from v_multi group by all""")
 def partition_scan(spark, sf):
     """One lake of two bases; a scan of one base prunes to its partitions."""
     path = scratch_path(spark, "lake")
     year = clean.content_week(F.expr(YEAR))
     for view, base in (("v_audit", "audit"), ("v_multi", "multi")):
-        rows = fx.view(spark, sf, view).withColumn("content_week", year)
+        ids = F.expr("case project_id when 'm0' then '007' when 'm1' then '12E4' else project_id end")
+        rows = fx.view(spark, sf, view).withColumns({"content_week": year, "project_id": ids})
         lake.write_long(rows, path, base)
+    if lake.scan(spark, path, project_id="007").limit(1).count() != 1:
+        raise AssertionError("the id 007 was not found")
     return (
         lake.scan(spark, path, base="multi")
         .groupBy("project_id", "reporting_week")
@@ -332,32 +336,170 @@ SHEET_COLUMNS = ["actor_id", "reviewer_id", "job_id", "job_date", "queue", "labe
 HIVE_KEYS = r"/project_id=([^/]+)/reporting_week=(\d{4}-\d{2}-\d{2})/([^/]+)$"
 
 
-@check("""select concat('p', cast(l_suppkey % 3 as varchar)) as project_id, FRI(cast(date_trunc('year', l_shipdate) as date)) as reporting_week,
-  FRI(cast(l_shipdate as date)) as content_week, count(*) as row_count,
-  count(*) filter (where l_tax <> 0) as correct_count from lineitem where l_partkey % 50 <> 0 group by all""")
-def incremental_ingest(spark, sf):
-    """Two deliveries, three runs of the stream: each file is ingested exactly once."""
+# Ids that a reader which guesses types would change.
+IDS = """case l_suppkey % 3 when 0 then '007' when 1 then '12E4' else 'p2' end"""
+INGESTED = f"""select {IDS} as project_id, FRI(cast(date_trunc('year', l_shipdate) as date)) as reporting_week,
+  FRI(cast(date_trunc('year', l_shipdate) as date)) as content_week, count(*) as row_count,
+  count(*) filter (where l_tax <> 0) as correct_count from lineitem where l_partkey % 50 <> 0 group by all"""
+
+
+def _sheet(spark, sf):
+    ids = F.expr("case project_id when 'p0' then '007' when 'p1' then '12E4' else project_id end")
+    return fx.query(spark, sf, RAW_SHEET).withColumn("project_id", ids)
+
+
+def _deliver(rows, root, columns, mode="append"):
+    """CSV files by project and week, with the columns in the given order."""
+    (
+        rows.select("project_id", "reporting_week", *columns)
+        .repartition(4, "project_id", "reporting_week")
+        .write.mode(mode).option("header", True).option("emptyValue", "").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("project_id", "reporting_week").csv(root)
+    )
+
+
+def _normalize(rows):
     from raterscope.plans.layouts_labels import normalize_long_audit
 
-    raw, store, marks = (scratch_path(spark, n) for n in ("raw", "lake", "stream"))
+    # years keep the number of partitions near that of real folders
+    return normalize_long_audit(rows, {}).withColumn("content_week", clean.content_week(F.expr(YEAR)))
 
-    def normalize(batch):
-        rows = normalize_long_audit(batch, {})
-        return rows.withColumn("content_week", clean.content_week(F.col("job_date")))
 
-    sheet = fx.query(spark, sf, RAW_SHEET)
-    for delivery in ("F", "O", None):
+@check(INGESTED)
+def incremental_ingest(spark, sf):
+    """Two deliveries with other column orders, three runs of the stream."""
+    root, store, marks = (scratch_path(spark, n) for n in ("raw", "lake", "stream"))
+    sheet = _sheet(spark, sf)
+    for delivery, columns in (("F", SHEET_COLUMNS), ("O", SHEET_COLUMNS[::-1]), (None, None)):
         if delivery:
-            part = sheet.where(F.col("arrival") == delivery).drop("arrival")
-            part.write.mode("append").option("header", True).option("emptyValue", "").partitionBy(
-                "project_id", "reporting_week"
-            ).csv(raw)
-        stream = incremental.raw_stream(
-            spark, raw, SHEET_COLUMNS, keys_pattern=HIVE_KEYS, week_format="yyyy-MM-dd"
+            _deliver(sheet.where(F.col("arrival") == delivery), root, columns)
+        incremental.ingest_new_files(
+            spark, root, SHEET_COLUMNS, _normalize, store, "audit", marks, pattern=HIVE_KEYS, week_format="yyyy-MM-dd"
         )
-        incremental.ingest_new_files(stream, normalize, store, "audit", marks)
     return (
         lake.scan(spark, store, base="audit")
         .groupBy("project_id", "reporting_week", "content_week")
         .agg(F.count("*").alias("row_count"), F.count_if("is_correct").alias("correct_count"))
     )
+
+
+@check(f"""select {", ".join(PAYLOAD_TEXT)}, case row_pos % 3 when 0 then '' else concat('caf', chr(232), row_pos) end as remark
+from v_payload""")
+def csv_mixed_headers(spark, sf):
+    """Files with other column orders, further columns, an absent column, and Latin-1 bytes."""
+    rows = fx.view(spark, sf, "v_payload").withColumn(
+        "remark", F.expr("case row_pos % 3 when 0 then '' else concat('caf', char(232), row_pos) end")
+    )
+    columns = [*PAYLOAD_TEXT, "remark"]
+    root = scratch_path(spark, "csv")
+    shapes = [("UTF-8", columns[:-1]), ("UTF-8", columns[::-1]), ("ISO-8859-1", [*columns, "extra"])]
+    for kind, (encoding, names) in enumerate(shapes):
+        part = rows.where(F.col("row_pos") % 3 == kind).withColumn("extra", F.lit("x, y"))
+        (
+            part.select(*names).write.mode("overwrite").option("header", True).option("escape", '"')
+            .option("emptyValue", "").option("encoding", encoding).csv(f"{root}/{kind}")
+        )
+    listed = ff.scan_folder(spark, root).where(F.lower("path").endswith(".csv"))
+    facts = raw.file_facts(spark, [r.path for r in listed.select("path").collect()])
+    read = raw.read_by_header(facts, columns, optional=["remark"])
+    return raw.well_formed(read).select(*columns)
+
+
+@check(f"""with f as (select project_id, data_week, count(*) as files from (select {IDS.replace("l_suppkey", "o_custkey")} as project_id,
+    FRI(cast(date_trunc('year', o_orderdate) as date)) as data_week from orders) t group by all)
+select project_id, data_week, 'ready' as state, project_id = '007' as is_opened from f""")
+def manifest_scan(spark, sf):
+    """After one project's files grew, a second listing opens its folders only."""
+    root = scratch_path(spark, "raw")
+    week = "FRI(cast(date_trunc('year', o_orderdate) as date))"
+    rows = fx.query(spark, sf, f"select {IDS.replace('l_suppkey', 'o_custkey')} as project_id, {week} as reporting_week, cast(o_orderkey as string) as job_id from orders")
+    _deliver(rows, root, ["job_id"])
+    keys = {"pattern": HIVE_KEYS, "week_format": "yyyy-MM-dd"}
+    first = stored(ff.manifest(spark, root, **keys), "manifest")
+    _deliver(rows.where("project_id = '007'").withColumn("job_id", F.concat("job_id", F.lit("0"))), root, ["job_id"], "overwrite")
+    second = ff.manifest(spark, root, first, **keys).where("state <> 'unknown_type'")
+    return second.groupBy("project_id", "data_week").agg(
+        F.max("state").alias("state"), F.bool_and("is_opened").alias("is_opened")
+    )
+
+
+# The last state of three deliveries: project 007 was edited, early weeks of p2 were emptied.
+LAST = f"""select * from (select {IDS} as project_id, FRI(cast(date_trunc('year', l_shipdate) as date)) as week, l_tax from lineitem
+  where l_partkey % 50 <> 0 and l_linestatus = 'F') t where not (project_id = 'p2' and year(week) < 1997)"""
+
+
+@check(f"""select 'lake' as kind, project_id, week, count(*) as row_count from ({LAST}) a group by all
+union all select 'report', project_id, week, count(*) from ({LAST}) b where l_tax = 0 group by all""")
+def full_run(spark, sf):
+    """New, edited and emptied weeks, each run by the snapshot difference; the fourth finds nothing."""
+    from raterscope.plans import daily
+
+    root, state, store, out = (scratch_path(spark, n) for n in ("raw", "state", "lake", "out"))
+    sheet = _sheet(spark, sf).where("arrival = 'F'")
+    early = (F.col("project_id") == "p2") & (F.year("reporting_week") < 1997)
+    wrong = F.when(F.col("project_id") == "007", F.lit("wrong answer")).otherwise(F.col("actor_answer"))
+    goals = spark.createDataFrame([("007", 0.5), ("12E4", 0.5), ("p2", 0.5)], "project_id string, target double")
+    deliveries = [
+        (sheet.withColumn("actor_answer", wrong), SHEET_COLUMNS),
+        (sheet.where("project_id = '007'"), SHEET_COLUMNS[::-1]),
+        (sheet.where(early).withColumn("job_id", F.lit("no id")), SHEET_COLUMNS),
+        None,
+    ]
+    changed = []
+    for delivery in deliveries:
+        if delivery:
+            _deliver(*[delivery[0], root, delivery[1]], mode="overwrite")
+        changed.append(
+            daily.full_run(
+                spark, root, state, store, out, SHEET_COLUMNS, _normalize, "audit", goals,
+                pattern=HIVE_KEYS, week_format="yyyy-MM-dd",
+            )
+        )
+    if changed != [True, True, True, False]:
+        raise AssertionError(f"runs that changed something: {changed}")
+    rows = lake.scan(spark, store, base="audit").select(F.lit("lake").alias("kind"), "project_id", F.col("reporting_week").alias("week"))
+    report = lake.read_table(spark, f"{out}/A_incorrect_sample").select(F.lit("report").alias("kind"), "project_id", F.col("week_ending").alias("week"))
+    return rows.unionByName(report).groupBy("kind", "project_id", "week").agg(F.count("*").alias("row_count"))
+
+
+# --- further sinks and row limits ------------------------------------------------------------
+
+
+@check(f"""select project_id, reporting_week, 'A' as base, FRI({YEAR}) as content_week, 'label' as methodology, count(*) as row_count from v_audit group by all""")
+def canonical_sink(spark, sf):
+    path = scratch_path(spark, "canonical")
+    rows = audit_long(spark, sf).withColumn("content_week", clean.content_week(F.expr(YEAR)))
+    lake.write_canonical(rows, path, "audit")
+    return (
+        lake.scan(spark, path).groupBy("project_id", "reporting_week", "base", "content_week", "methodology")
+        .agg(F.count("*").alias("row_count"))
+    )
+
+
+@check("""select count(*) as row_count, min(kept) as least, max(kept) as most from (
+  select project_id, least(count(*), 1000) as kept from v_audit where project_id = 'p0' group by 1) t""")
+def param_sql_limit(spark, sf):
+    """The automatic limit, as the feature is; a query with its own limit keeps that."""
+    rows = fx.view(spark, sf, "v_audit")
+    text = "select project_id, job_id from {input_path} where project_id = {project}"
+    limited = lake.param_sql(spark, text, rows, auto_limit=True, project="p0")
+    own = lake.param_sql(spark, text + "\nLIMIT 5", rows, auto_limit=True, limit_rows=2, project="p0")
+    n = limited.agg(F.count("*").alias("kept"))
+    if own.count() != 5:
+        raise AssertionError("the query's own limit was not kept")
+    return n.select(F.lit(1).cast("long").alias("row_count"), F.col("kept").alias("least"), F.col("kept").alias("most"))
+
+
+@check("""select project_id, reporting_week as week_ending, cast(count(*) as bigint) as row_count from v_audit
+where project_id <> 'p0' or reporting_week >= (select min(reporting_week) from v_audit where project_id = 'p0') + 700 group by all""")
+def override_partitions(spark, sf):
+    """A roll-up replaces all weeks of its project, also those it has no row of."""
+    from raterscope.plans import daily
+
+    out = scratch_path(spark, "out")
+    rows = fx.view(spark, sf, "v_audit").groupBy("project_id", F.col("reporting_week").alias("week_ending")).agg(F.count("*").alias("row_count"))
+    incremental.write_report(rows.withColumn("row_count", F.col("row_count") * F.when(F.col("project_id") == "p0", 2).otherwise(1)), out, "report")
+    first = rows.where("project_id = 'p0'").agg(F.min("week_ending").alias("first"))
+    later = rows.where("project_id = 'p0'").join(F.broadcast(first), F.col("week_ending") >= F.date_add("first", 700)).drop("first")
+    daily.override_report(later, out, "report")
+    return lake.read_table(spark, f"{out}/report").select("project_id", "week_ending", "row_count")

@@ -6,13 +6,14 @@ scan (`scan_folder`) and on a stored listing.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raterscope.functions.clean import content_week
+from raterscope.operators.skew import join_null_safe
+from raterscope.session import stored
 
 # Header signatures of the known layouts, tried in this order.
 SIGNATURES = {
@@ -45,6 +46,8 @@ SIGNATURES = {
     "MULTI-UNPIVOTED": ["job_id", "reviewer_id", "question", "answer"],
 }
 
+#: The name pattern of CSV files in either case, for Spark's file sources.
+CSV_GLOB = "*.[cC][sS][vV]"
 EXTENSIONS = (".csv", ".xls", ".xlsx")
 SKIP_WORD = "notused"
 LABEL_LENGTH = 21
@@ -54,7 +57,12 @@ HASH_DIGITS = 3
 # --- folder scan -----------------------------------------------------------------------
 
 
-def scan_folder(spark: SparkSession, root: str) -> DataFrame:
+def scan_folder(
+    spark: SparkSession,
+    root: str | list[str],
+    pattern: str | None = None,
+    week_format: str | None = None,
+) -> DataFrame:
     """path, filename, size_bytes, modified and the keys in the path; contents are not read."""
     listed = (
         spark.read.format("binaryFile")
@@ -66,7 +74,7 @@ def scan_folder(spark: SparkSession, root: str) -> DataFrame:
             F.col("modificationTime").alias("modified"),
         )
     )
-    return with_path_keys(listed)
+    return with_path_keys(listed, pattern or PATH_KEYS, week_format or WEEK_FORMAT)
 
 
 PATH_KEYS = r"/([^/_]+)_[^/]*/WE (\d{4}\.\d{2}\.\d{2})/([^/]+)$"
@@ -94,39 +102,17 @@ def with_path_keys(
     )
 
 
-def text_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of all CSV files of a folder tree."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-    return reader.text(root).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_pos"),
-    )
-
-
-def headers(lines: DataFrame) -> DataFrame:
-    """First line and parsed header names of each file.
+def header_names(line: Column) -> Column:
+    """Trimmed names of a CSV header line; commas inside quotes do not split.
 
-    Only lines of a file's first block are compared.
+    A quote inside quotes is written twice or after a backslash.
     """
-    first = lines.where(F.col("block_start") == 0).groupBy("path").agg(
-        F.min_by("value", "line_pos").alias("header_line")
-    )
-    return first.withColumn("header", header_names(F.col("header_line")))
-
-
-def header_names(line: Column) -> Column:
-    """Trimmed names of a CSV header line; commas inside quotes do not split."""
     outside_quotes = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    cells = F.split(F.regexp_replace(line, "^\\x{FEFF}", ""), outside_quotes)
-    return F.transform(cells, lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
-
-
-def data_rows(lines: DataFrame) -> DataFrame:
-    """Non-blank lines after the header, per file."""
-    filled = lines.where(F.trim("value") != "")
-    return filled.groupBy("path").agg((F.count("*") - 1).alias("data_rows"))
+    line = F.replace(F.regexp_replace(line, "^\\x{FEFF}", ""), F.lit('\\"'), F.lit('""'))
+    return F.transform(
+        F.split(line, outside_quotes),
+        lambda c: F.trim(F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))),
+    )
 
 
 def eligible(files: DataFrame) -> DataFrame:
@@ -141,41 +127,93 @@ def eligible(files: DataFrame) -> DataFrame:
     return files.where(keep)
 
 
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Eligible files of a folder tree with their fingerprint and layout.
+#: What is kept of an opened file, besides what its listing says.
+FACTS = ["header_line", "header", "data_rows", "is_utf8", "permissive"]
 
-    Names are checked before any file is opened.
-    """
-    named = eligible(scan_folder(spark, root))
-    lines = text_lines(spark, root)
-    counted = named.join(data_rows(lines), "path").join(headers(lines), "path")
-    return with_fingerprint(eligible(classify(counted)))
 
+def file_state(opened: bool = True) -> Column:
+    """Why a file is used (`ready`) or not; before files are opened, by name and size only."""
+    name = F.lower("filename")
+    known = F.lit(False)
+    for extension in EXTENSIONS:
+        known = known | name.endswith(extension)
+    state = (
+        F.when(~known, "unknown_type")
+        .when(F.contains(name, F.lit(SKIP_WORD)), "not_used")
+        .when(F.col("size_bytes") <= 0, "empty")
+        .when(~name.endswith(".csv"), "unreadable")
+    )
+    if opened:
+        state = state.when(F.coalesce(F.col("data_rows"), F.lit(0)) < 1, "no_rows")
+    return state.otherwise("ready")
 
-# --- names ------------------------------------------------------------------------------
+
+def manifest(
+    spark: SparkSession,
+    root: str | list[str],
+    previous: DataFrame | None = None,
+    pattern: str | None = None,
+    week_format: str | None = None,
+) -> DataFrame:
+    """All files of a folder tree with fingerprint, `state` and, if ready, layout and header.
+
+    Names and sizes are listed first. With the `previous` manifest, only files of folders whose
+    fingerprint changed are opened (`is_opened`); the others keep what was found then.
+    """
+    from raterscope.sources.raw import file_facts
+
+    listed = scan_folder(spark, root, pattern, week_format)
+    listed = stored(with_fingerprint(listed.withColumn("state", file_state(opened=False))), "listing")
+    week = ["project_id", "data_week"]
+    fresh = listed.where("state = 'ready'")
+    known = None
+    if previous is not None:
+        same = folder_hashes(listed).join(folder_hashes(previous), [*week, "folder_hash"], "left_semi").select(*week)
+        known = join_null_safe(fresh, same, week, "left_semi").join(
+            previous.select(*week, "filename", *FACTS), [*week, "filename"], "left"
+        )
+        fresh = join_null_safe(fresh, same, week, "left_anti")
+    paths = [r.path for r in fresh.select("path").collect()]
+    opened = fresh.join(file_facts(spark, paths), "path", "left") if paths else None
+    parts = [p.withColumn("is_opened", F.lit(flag)) for p, flag in ((opened, True), (known, False)) if p is not None]
+    others = listed.where("state <> 'ready'").withColumn("is_opened", F.lit(False))
+    found = others
+    for part in parts:
+        found = found.unionByName(part, allowMissingColumns=True)
+    if not parts:
+        found = found.withColumns({c: F.lit(None).cast(kind) for c, kind in zip(FACTS, ["string", "array<string>", "bigint", "boolean", "boolean"], strict=True)})
+    found = found.withColumn("state", F.when(F.col("state") == "ready", file_state()).otherwise(F.col("state")))
+    return classify(found)
 
 
-def name_pattern(config: dict) -> str:
-    """Regular expression of a file filter: prefix, ordered parts, suffix; case-sensitive."""
-    contains = config.get("contains", [])
-    contains = [contains] if isinstance(contains, str) else list(contains or [])
-    start, end = config.get("begins_with", ""), config.get("ends_with", "")
-    pattern = "^" + (_literal(start) if start else ".*")
-    pattern += "".join(".*" + _literal(part) for part in contains)
-    return pattern + ".*" + (_literal(end) if end else "") + "$"
+# --- names ------------------------------------------------------------------------------
 
 
-def _literal(text: str) -> str:
-    return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", text)
+def name_fits(name: Column, config: dict) -> Column:
+    """Whether a name begins with, then contains in order, and ends with the configured texts."""
+    parts = config.get("contains") or []
+    parts = [parts] if isinstance(parts, str) else list(parts)
+    start, end = config.get("begins_with") or "", config.get("ends_with") or ""
+    fits = name.startswith(start) & name.endswith(end)
+    # each part is looked for after the end of the one before it, in front of the ending
+    at = F.lit(len(start) + 1)
+    for part in parts:
+        found = F.position(F.lit(part), name, at)
+        fits, at = fits & (found > 0), found + len(part)
+    return fits & (at - 1 + len(end) <= F.length(name))
 
 
 def match_names(files: DataFrame, config: dict) -> DataFrame:
-    hit = F.col("filename").rlike(name_pattern(config))
+    hit = name_fits(F.col("filename"), config)
     return files.withColumn("naming_filter", F.when(hit, "match").otherwise("no_match"))
 
 
 def clean_label(name: Column, length: int = LABEL_LENGTH) -> Column:
-    """Alphanumerics of a name, cut or padded with zeros to a fixed length."""
+    """Alphanumerics of a name, cut or padded with zeros to a fixed length.
+
+    It is the published naming, for display. Names that share their beginning share the label,
+    so nothing is keyed or written by it.
+    """
     return F.rpad(F.regexp_replace(name, "[^a-zA-Z0-9]", ""), length, "0")
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from raterscope.schema import to_canonical
+from raterscope.session import stored
 
 PARTITIONS = ["project_id", "reporting_week", "base", "content_week"]
 
@@ -73,11 +74,6 @@ def with_positions(df: DataFrame) -> DataFrame:
     )
 
 
-def needs_permissive_parse(headers: DataFrame) -> DataFrame:
-    """Flag headers (source_file, header_line) that hold stray escapes or comment marks."""
-    return headers.withColumn("permissive", F.col("header_line").rlike(SUSPICIOUS_HEADER))
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (
         df.write.mode(mode)
@@ -115,6 +111,47 @@ def write_canonical(df: DataFrame, root: str, base: str) -> None:
     write_long(to_canonical(df), root, base)
 
 
+#: Partition columns have these types on every read: ids such as `007` and `12E4` stay text.
+KEY_TYPES = {
+    "project_id": T.StringType(), "base": T.StringType(), "reporting_week": T.DateType(),
+    "content_week": T.DateType(), "week_ending": T.DateType(),
+}
+
+
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """A partitioned table (lake or report) with its partition columns in their own types."""
+    found = spark.read.parquet(root).schema
+    fields = [T.StructField(f.name, KEY_TYPES.get(f.name, f.dataType), f.nullable) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(root)
+
+
+def clear_partitions(spark: SparkSession, root: str, keys: Sequence[str], weeks: DataFrame, written: DataFrame) -> None:
+    """Empty the partitions of the touched weeks (`weeks`) that `written` has no row of.
+
+    `keys` are the table's partition columns, outermost first. One small job per partition.
+    """
+    touched = read_table(spark, root).join(weeks, weeks.columns, "left_semi").select(*keys).distinct()
+    stale = touched.join(written.select(*keys).distinct(), list(keys), "left_anti").collect()
+    data = [f for f in read_table(spark, root).schema if f.name not in keys]
+    for row in stale:
+        folder = "/".join(f"{k}={_escape(row[k])}" for k in keys)
+        spark.createDataFrame([], T.StructType(data)).write.mode("overwrite").parquet(f"{root}/{folder}")
+
+
+def _escape(value) -> str:
+    """A partition value as Spark writes it into a path."""
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or c == "\x7f" else c for c in str(value))
+
+
+def replace_weeks(rows: DataFrame, root: str, base: str, weeks: DataFrame) -> None:
+    """Write all rows of the given (project_id, reporting_week); what lay there before goes."""
+    rows = stored(rows.withColumn("base", F.lit(base_code(base))), "weeks")
+    write_long(rows.drop("base"), root, base)
+    spark = rows.sparkSession
+    ours = weeks.select("project_id", "reporting_week").withColumn("base", F.lit(base_code(base)))
+    clear_partitions(spark, root, PARTITIONS, ours, rows)
+
+
 def scan(
     spark: SparkSession,
     root: str,
@@ -123,9 +160,7 @@ def scan(
     week: str | None = None,
 ) -> DataFrame:
     """Lake rows of a project, base and week; a missing argument means all."""
-    df = spark.read.parquet(root)
-    # Partition values are read back with inferred types; ids stay text.
-    df = df.withColumn("project_id", F.col("project_id").cast("string"))
+    df = read_table(spark, root)
     if project_id:
         df = df.where(F.col("project_id") == project_id)
     if base:
@@ -151,9 +186,6 @@ def describe(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "col_name string, data_type string")
 
 
-_TOKEN = re.compile(r"\{\s*([a-zA-Z0-9_]+)\s*\}")
-
-
 def param_sql(
     spark: SparkSession,
     text: str,
@@ -165,24 +197,30 @@ def param_sql(
 ) -> DataFrame:
     """SQL in which `{input_path}` is the table and other `{name}` tokens are bound values.
 
-    An unknown token is an error. The limit is added only to a SELECT without one.
+    An unknown token is an error. The limit is added only to a plain SELECT whose analysed plan
+    has none on top.
     """
-    text = (text or "").strip()
-
-    def bind(match: re.Match) -> str:
-        name = match.group(1).lower()
+    pieces, used = [], {}
+    for before, token, _, _ in Formatter().parse(text or ""):
+        pieces.append(before)
+        name = (token or "").strip().lower()
         if name == "input_path":
-            return "{input_path}"
-        if name not in parameters:
-            raise ValueError(f"no value for the parameter {name!r}")
-        return f":{name}"
-
-    sql = _TOKEN.sub(bind, text)
-    used = {k: v for k, v in parameters.items() if f":{k}" in sql}
+            pieces.append("{input_path}")
+        elif token is not None:
+            if name not in parameters:
+                raise ValueError(f"no value for the parameter {name!r}")
+            used[name] = parameters[name]
+            pieces.append(f":{name}")
+    sql = "".join(pieces).strip()
     df = spark.sql(sql, args=used, input_path=input_path)
-    if auto_limit and re.match(r"select\b", sql, re.I) and " limit " not in sql.lower():
+    if auto_limit and sql[:6].lower() == "select" and not _has_limit(df):
         df = df.limit(int(limit_rows))
     if booleans_as_text:
         flags = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)]
         df = df.withColumns({c: F.col(c).cast("string") for c in flags}) if flags else df
     return df
+
+
+def _has_limit(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().analyzed().toString().lstrip()
+    return plan.startswith(("GlobalLimit", "LocalLimit", "Offset"))

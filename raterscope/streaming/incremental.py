@@ -1,8 +1,11 @@
-"""Ingest only new raw files, and rebuild only the reports they touch.
-
-The file source remembers finished files in its checkpoint, so a run with `availableNow`
-handles what arrived since the last one. Every micro-batch writes under its own batch id
-and overwrites that id when it is retried, so a lost executor or driver never doubles rows.
+"""Ingest raw files as they arrive, and rebuild only the reports they touch.
+
+A file-source stream finds new files and remembers them in its checkpoint, so a run with
+`availableNow` handles what arrived since the last one. The unit of work is the delivery week:
+all current files of a touched (project, week) are read by header name and replace its
+partitions of the lake, so a retried batch, a re-delivered file or a removed one never leaves
+rows behind. A file edited under its old name is not new to a stream; `plans.daily.full_run`
+finds it by comparing snapshots.
 """
 
 from __future__ import annotations
@@ -13,81 +16,97 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raterscope.operators.skew import attach
-from raterscope.sources.files import PATH_KEYS, WEEK_FORMAT, with_path_keys
-from raterscope.sources.lake import base_code, string_schema
+from raterscope.session import stored
+from raterscope.sources import lake as store
+from raterscope.sources import raw
+from raterscope.sources.files import CSV_GLOB, PATH_KEYS, WEEK_FORMAT, manifest, with_path_keys
 
-BATCH_PARTITIONS = ["base", "project_id", "reporting_week", "batch_id"]
 WEEK = ["project_id", "reporting_week"]
 
 
-def raw_stream(
-    spark: SparkSession,
-    root: str,
+def arrivals(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+    """A stream of the paths of new CSV files; contents are not read."""
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", CSV_GLOB)
+    )
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(root).select("path")
+
+
+def raw_rows(
+    files: DataFrame,
     columns: Sequence[str],
-    max_files: int | None = None,
-    keys_pattern: str = PATH_KEYS,
+    optional: Sequence[str] = (),
+    pattern: str = PATH_KEYS,
     week_format: str = WEEK_FORMAT,
 ) -> DataFrame:
-    """Raw CSV rows as strings, with file, position, project and reporting week.
+    """Rows of the files with project and reporting week; malformed ones keep their mark.
 
     The reporting week is the folder's; late rows keep it and get their own content week.
     """
-    reader = (
-        spark.readStream.schema(string_schema(columns))
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-    )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.csv(root).select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-    )
-    keyed = with_path_keys(rows, keys_pattern, week_format).withColumnsRenamed(
-        {"path": "source_file", "data_week": "reporting_week"}
-    )
-    return keyed.drop("filename")
+    rows = raw.read_by_header(files, columns, optional).withColumn("path", F.col("source_file"))
+    keyed = with_path_keys(rows, pattern, week_format)
+    return keyed.withColumnRenamed("data_week", "reporting_week").drop("path", "filename")
+
+
+def load_weeks(
+    files: DataFrame,
+    weeks: DataFrame,
+    normalize: Callable[[DataFrame], DataFrame],
+    lake: str,
+    base: str,
+    columns: Sequence[str],
+    optional: Sequence[str] = (),
+    pattern: str = PATH_KEYS,
+    week_format: str = WEEK_FORMAT,
+) -> DataFrame:
+    """Replace the lake's rows of the weeks by those of their files; counts of malformed rows."""
+    rows = raw_rows(files, columns, optional, pattern, week_format)
+    store.replace_weeks(normalize(raw.well_formed(rows)), lake, base, weeks)
+    return raw.malformed_counts(rows)
 
 
 def ingest_new_files(
-    raw: DataFrame,
+    spark: SparkSession,
+    root: str,
+    columns: Sequence[str],
     normalize: Callable[[DataFrame], DataFrame],
     lake: str,
     base: str,
     checkpoint: str,
     on_weeks: Callable[[DataFrame], None] | None = None,
+    optional: Sequence[str] = (),
+    pattern: str = PATH_KEYS,
+    week_format: str = WEEK_FORMAT,
+    max_files: int | None = None,
 ) -> None:
-    """Normalise every file that arrived and append it to the lake; returns when done.
+    """Bring the weeks of all files that arrived up to date in the lake; returns when done.
 
-    `on_weeks` gets the distinct (project_id, reporting_week) of each batch.
+    `on_weeks` gets the distinct (project_id, reporting_week) of each batch. A batch lists the
+    folders of its own files only.
     """
-    code = base_code(base)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        positioned = batch.withColumn("row_pos", F.monotonically_increasing_id())
-        rows = normalize(positioned).withColumns(
-            {"base": F.lit(code), "batch_id": F.lit(batch_id)}
-        )
-        (
-            rows.hint("rebalance", *[F.col(c) for c in BATCH_PARTITIONS])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*BATCH_PARTITIONS)
-            .parquet(lake)
-        )
+        folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+        folders = batch.select(folder.alias("folder")).distinct().collect()
+        folders = [raw.readable(r.folder) for r in folders]
+        if not folders:
+            return
+        found = manifest(batch.sparkSession, folders, pattern=pattern, week_format=week_format)
+        found = stored(found, "manifest")
+        weeks = stored(found.select("project_id", F.col("data_week").alias("reporting_week")).distinct(), "touched")
+        ready = found.where("state = 'ready'")
+        load_weeks(ready, weeks, normalize, lake, base, columns, optional, pattern, week_format)
         if on_weeks:
-            written = batch.sparkSession.read.parquet(lake).where(
-                (F.col("base") == code) & (F.col("batch_id") == batch_id)
-            )
-            on_weeks(written.select(*WEEK).distinct())
+            on_weeks(weeks)
 
     query = (
-        raw.writeStream.trigger(availableNow=True)
+        arrivals(spark, root, max_files)
+        .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(handle)
         .start()
@@ -100,9 +119,14 @@ def affected_rows(lake_rows: DataFrame, weeks: DataFrame) -> DataFrame:
     return attach(lake_rows, weeks, WEEK, "left_semi")
 
 
-def write_report(report: DataFrame, root: str, name: str) -> None:
-    """Replace the report's partitions of the weeks it holds."""
+def write_report(report: DataFrame, root: str, name: str, weeks: DataFrame | None = None) -> None:
+    """Replace the report's partitions of the weeks it holds.
+
+    With `weeks` (project_id, week_ending), those that the report has no row of are emptied.
+    """
     keys = ["project_id", "week_ending"]
+    if weeks is not None:
+        report = stored(report, "report")
     (
         report.hint("rebalance", *[F.col(c) for c in keys])
         .write.mode("overwrite")
@@ -110,3 +134,5 @@ def write_report(report: DataFrame, root: str, name: str) -> None:
         .partitionBy(*keys)
         .parquet(f"{root}/{name}")
     )
+    if weeks is not None:
+        store.clear_partitions(report.sparkSession, f"{root}/{name}", keys, weeks.select(*keys), report)

@@ -10,6 +10,7 @@ from checks import fixtures as fx
 from raterscope.plans import daily, layouts_labels, reports
 from raterscope.functions import clean
 from raterscope.sources import files, lake, ledger
+from raterscope.sources import raw as raw_files
 from raterscope.streaming import incremental
 
 HEADER = "job_id,reviewer_id,question,answer"
@@ -39,24 +40,40 @@ def test_csv_values_and_positions(spark, raw):
     assert all(r.source_file.endswith("a.csv") for r in rows)
 
 
-def test_permissive_csv(spark, raw):
+def facts_of(spark, *paths):
+    return raw_files.file_facts(spark, [str(p) for p in paths])
+
+
+def test_files_are_read_by_their_own_header(spark, raw):
     root, add = raw
+    folder = root / "raw" / "p1_Pine wood" / "WE 2025.07.18"
     add("2025.07.18", "d.csv", 'job_id,reviewer_id,"que\\"stion",answer\n1,2,"a \\"b\\" c",\xe9\n'.encode("latin-1"))
-    path = str(root / "raw" / "p1_Pine wood" / "WE 2025.07.18" / "d.csv")
-    heads = files.headers(files.text_lines(spark, str(root / "raw")))
-    flags = {r.path.rsplit("/", 1)[1]: r.permissive for r in lake.needs_permissive_parse(heads).collect()}
-    assert flags["d.csv"] and not flags["a.csv"]
-    columns = ["job_id", "reviewer_id", 'que"stion', "answer"]
-    row = lake.read_raw_csv(spark, path, columns, permissive=True).first()
-    assert tuple(row)[:4] == ("1", "2", 'a "b" c', "\xe9")
+    add("2025.07.18", "e.CSV", "answer,more,job_id\nno,x,2\n\xe9t\xe9,y,3\n".encode("latin-1"))
+    add("2025.07.18", "f.csv", "job_id,answer\n4,yes\n5\n6,no,7\n8,caff\u00e8\n")
+    facts = facts_of(spark, folder / "d.csv", folder / "e.CSV", folder / "f.csv")
+    kinds = {r.path.rsplit("/", 1)[1]: (r.is_utf8, r.permissive, r.data_rows) for r in facts.collect()}
+    assert kinds == {"d.csv": (False, True, 1), "e.CSV": (False, False, 2), "f.csv": (True, False, 4)}
+    rows = raw_files.read_by_header(facts, ["job_id", "answer", "more"], optional=["more"])
+    good = {(r.job_id, r.answer, r.more) for r in raw_files.well_formed(rows).collect()}
+    assert good == {("1", "\xe9", ""), ("2", "no", "x"), ("3", "\xe9t\xe9", "y"), ("4", "yes", ""), ("8", "caff\u00e8", "")}
+    assert [(r.source_file.rsplit("/", 1)[1], r.malformed_rows) for r in raw_files.malformed_counts(rows).collect()] == [("f.csv", 2)]
+    with pytest.raises(ValueError, match="more"):
+        raw_files.read_by_header(facts, ["job_id", "more"])
+    assert raw_files.read_by_header(facts.limit(0), ["job_id"]).count() == 0
 
 
 def test_manifest(spark, raw):
-    root, _ = raw
+    root, add = raw
+    add("2025.07.11", "x.xlsx", "binary")
+    add("2025.07.11", "upper.CSV", f"{HEADER}\n7,8,q,a\n")
     rows = files.manifest(spark, str(root / "raw")).collect()
-    found = {(r.project_id, r.data_week, r.filename, r.layout) for r in rows}
-    assert found == {
+    ready = {(r.project_id, r.data_week, r.filename, r.layout) for r in rows if r.state == "ready"}
+    assert ready == {
         ("p1", date(2025, 7, 4), "a.csv", "MULTI-UNPIVOTED"), ("p1", date(2025, 7, 11), "b.csv", "MULTI-UNPIVOTED"),
+        ("p1", date(2025, 7, 11), "upper.CSV", "MULTI-UNPIVOTED"),
+    }
+    assert {(r.filename, r.state) for r in rows if r.state != "ready"} == {
+        ("empty.csv", "no_rows"), ("notused.csv", "not_used"), ("c.txt", "unknown_type"), ("x.xlsx", "unreadable"),
     }
 
 
@@ -75,7 +92,8 @@ def test_snapshots(spark, raw):
     root, add = raw
 
     def take():
-        found = files.match_names(files.manifest(spark, str(root / "raw")), {"ends_with": ".csv"})
+        found = files.manifest(spark, str(root / "raw")).where("state = 'ready'")
+        found = files.match_names(found, {"ends_with": ".csv"})
         found = found.withColumn("dataset_format", files.dataset_format(F.col("layout"), F.lit("MULTI-UNPIVOTED")))
         weeks = ledger.week_rows(found, files.folder_hashes(found))
         return ledger.append_snapshot(spark, str(root / "snap"), weeks, found)
@@ -100,18 +118,18 @@ def test_stream_ingests_each_file_once(spark, raw):
     store, marks, seen = str(root / "lake"), str(root / "marks"), []
 
     def run():
-        stream = incremental.raw_stream(spark, str(root / "raw"), COLUMNS)
-        rows = lambda batch: batch.drop("block_start", "row_pos")
+        rows = lambda batch: batch.drop("block_start", "row_pos").withColumn("content_week", F.col("reporting_week"))
         incremental.ingest_new_files(
-            stream, rows, store, "multi", marks, lambda weeks: seen.append({tuple(r) for r in weeks.collect()})
+            spark, str(root / "raw"), COLUMNS, rows, store, "multi", marks, lambda weeks: seen.append({tuple(r) for r in weeks.collect()})
         )
-        return spark.read.parquet(store).where("job_id <> ''").count()
+        return lake.scan(spark, store).where("job_id <> ''").count()
 
-    assert run() == 4  # a.csv (2), b.csv, notused.csv: the stream takes every CSV
+    assert run() == 3  # a.csv (2) and b.csv
+    assert run() == 3
+    add("2025.07.11", "late.CSV", "answer,job_id,reviewer_id,question\na,7,8,q\n")
     assert run() == 4
-    add("2025.07.11", "late.csv", f"{HEADER}\n7,8,q,a\n")
-    assert run() == 5
     assert seen[-1] == {("p1", date(2025, 7, 11))}
+    assert {r.answer for r in lake.scan(spark, store, week="2025-07-11").collect()} == {"a"}
 
 
 def test_param_sql(spark):
@@ -119,7 +137,7 @@ def test_param_sql(spark):
     text = "SELECT id, flag FROM {input_path} WHERE id >= {low}"
     out = lake.param_sql(spark, text, df, auto_limit=True, limit_rows=2, booleans_as_text=True, low=1)
     assert out.count() == 2 and dict(out.dtypes)["flag"] == "string"
-    assert lake.param_sql(spark, text + " limit 3", df, auto_limit=True, limit_rows=1, low=0).count() == 3
+    assert lake.param_sql(spark, text + "\nlimit 3", df, auto_limit=True, limit_rows=1, low=0).count() == 3
     assert lake.param_sql(spark, "with t as (select * from {input_path}) select * from t", df, True, 1).count() == 5
     with pytest.raises(ValueError, match="low"):
         lake.param_sql(spark, text, df)
@@ -180,9 +198,13 @@ def test_full_run_rebuilds_touched_weeks_only(spark, raw):
         return f"1000000000{rater},20000000001,3000000000{job},{day},q,flag,{mine},{theirs}\n"
 
     def go():
-        stream = incremental.raw_stream(spark, str(root / "raw" / folder), SHEET.split(","))
-        normalize = lambda batch: layouts_labels.normalize_long_audit(batch, {})
-        return daily.run(stream, normalize, "audit", goals, names["lake"], names["out"], names["marks"])
+        def normalize(batch):
+            rows = layouts_labels.normalize_long_audit(batch, {})
+            return rows.withColumn("content_week", clean.content_week(F.col("job_date")))
+
+        return daily.run(
+            spark, str(root / "raw" / folder), SHEET.split(","), normalize, "audit", goals, names["lake"], names["out"], names["marks"]
+        )
 
     def scores():
         report = spark.read.parquet(f"{names['out']}/A_workflow_summary")
@@ -200,7 +222,7 @@ def test_full_run_rebuilds_touched_weeks_only(spark, raw):
     fixed = spark.read.parquet(f"{names['out']}/A_workflow_summary").where("week_ending = '2025-07-11'")
     override = fixed.withColumn("workflow_score", F.lit(0.25)).withColumn("project_id", F.lit("s1"))
     daily.override_report(spark.createDataFrame(override.collect(), override.schema), names["out"], "A_workflow_summary")
-    assert scores() == {"2025-07-04": (2, 0.5), "2025-07-11": (2, 0.25)}
+    assert scores() == {"2025-07-11": (2, 0.25)}
 
 
 def test_multi_and_outcome_reports_are_written(spark, sf, tmp_path):
