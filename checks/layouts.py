@@ -208,3 +208,20 @@ from supplier where s_suppkey % 10 <> 0"""
 from ({MAILED.replace("`", '"')}) m join ({MAILS}) e on lower(trim(m."Email")) = e.email""")
 def email_remap(spark, sf):
     return layouts.map_emails(fx.query(spark, sf, MAILED), fx.query(spark, sf, MAILS))
+
+
+# --- reject counts of the other layouts ------------------------------------------------------
+
+
+@check("""select case when l_partkey % 50 = 0 then 'invalid_id' else 'accepted' end as reject_reason, count(*) as row_count from lineitem group by 1""")
+def rejects_long_audit(spark, sf):
+    config = {**LABEL_CONFIG, "info_columns": {"reviewer_response_column": "ground_truth"}}
+    return clean.reject_stats(ll.tag_long_audit(fx.query(spark, sf, LONG_SHEET), config))
+
+
+@check(f"""with d as (select *, row_number() over (partition by l_suppkey, l_orderkey order by {POSITION.replace("l.", "")} desc) as n
+  from lineitem where l_suppkey % 11 <> 0)
+select case when l_partkey % 17 <> 0 and l_partkey % 13 <> 0 then 'accepted' else 'invalid_json' end as reject_reason, count(*) as row_count
+from d where n = 1 group by 1""")
+def rejects_auditor_keyed(spark, sf):
+    return clean.reject_stats(ll.tag_auditor_keyed_json(fx.query(spark, sf, RAW_KEYED)))

@@ -136,6 +136,68 @@ def market_combined_single(spark, sf):
     return _round(_tables(spark, sf, SINGLE)["market_combined"])
 
 
+SINGLE_DASH = rollups.MarketConfig(
+    target=0.85, combined_label="eb", language_token=1, upper_language=False, project_id="eb", week_ending="2025-07-04"
+)
+# One family: rows as they are, the language is the second token.
+SINGLE_SQL = f"""ov as ({RATED} from v_market_overview), ra as ({RATED} from v_market_raters),
+o as (select sample_ds, routing_name, nullif(split_part(routing_name, '_', 2), '') as lang, 'eb' as main_label, {RATES} from ov
+  where sample_ds = (select max(sample_ds) from ov) and label_category_name ilike '%positive%'),
+r as (select sample_ds, rater_id, nullif(split_part(routing_name, '_', 2), '') as lang, 'eb' as main_label, total_count,
+    tp_count + fp_count + fn_count as audit_count, tp_count, fp_count, tn_count, fn_count, {RATES},
+    (tp_count + fp_count) / total_count as positivity, coalesce(unweighted_f1 >= 0.85, false) as above_target,
+    tp_count + fp_count + fn_count > 0 as has_valid_score from ra where sample_ds = (select max(sample_ds) from ra)),
+g as (select sample_ds, lang, count(*) as rater_count, count(*) filter (where above_target) as raters_above_target,
+    cast(sum(audit_count) as bigint) as audit_count, avg(positivity) as positivity from r where has_valid_score and lang is not null group by all),
+mk as (select o.* exclude (routing_name), g.* exclude (sample_ds, lang), raters_above_target / rater_count as raters_above_target_perc
+  from o left join g using (sample_ds, lang) where routing_name not ilike '%combined%'),
+t as (select sample_ds, cast(sum(audit_count) as bigint) as audit_count, cast(sum(rater_count) as bigint) as rater_count,
+    cast(sum(raters_above_target) as bigint) as raters_above_target, avg(positivity) as positivity from g group by 1),
+oa as (select o.sample_ds, routing_name as lang, main_label, {RATES}, t.* exclude (sample_ds), raters_above_target / rater_count as raters_above_target_perc
+  from o left join t using (sample_ds) where routing_name ilike '%combined%')"""
+
+
+def _single(spark, sf, name):
+    overview, raters = (_rated(fx.view(spark, sf, f"v_market_{v}")) for v in ("overview", "raters"))
+    return _round(rollups.single_family_rollup(overview, raters, SINGLE_DASH)[name])
+
+
+@check(f"with {SINGLE_SQL} select {_MC}, round(positivity, 6) as positivity from oa")
+def market_single_overall(spark, sf):
+    return _single(spark, sf, "overall")
+
+
+@check(f"with {SINGLE_SQL} select {_MC}, round(positivity, 6) as positivity from mk")
+def market_single_market(spark, sf):
+    return _single(spark, sf, "market")
+
+
+@check(f"""with {SINGLE_SQL}
+select date '2025-07-04' as week_ending, 'eb' as project_id, mk.lang as workflow, mk.rater_count,
+  cast(null as bigint) as auditor_count, cast(null as bigint) as job_instances, mk.audit_count as audited_instances,
+  mk.audit_count as audited_instances_f1, cast(0.85 as double) as target_goal, mk.raters_above_target,
+  mk.raters_above_target as raters_above_target_f1,
+  round(mk.unweighted_accuracy, 6) as workflow_score, round(mk.unweighted_f1, 6) as workflow_f1score,
+  round(mk.unweighted_precision, 6) as workflow_precision, round(mk.unweighted_recall, 6) as workflow_recall,
+  round(oa.unweighted_accuracy, 6) as project_score, round(oa.unweighted_f1, 6) as project_f1score,
+  round(oa.unweighted_precision, 6) as project_precision, round(oa.unweighted_recall, 6) as project_recall
+from mk left join oa using (sample_ds)""")
+def market_single_dashboard_workflow(spark, sf):
+    return _single(spark, sf, "dashboard_workflow")
+
+
+@check(f"""with {SINGLE_SQL}
+select date '2025-07-04' as week_ending, 'eb' as project_id, r.lang as workflow, r.rater_id, 'eb' as parent_label, r.total_count as tot_labels,
+  r.tp_count + r.tn_count as correct_labels, r.audit_count, r.tp_count, r.tn_count, r.fp_count, r.fn_count,
+  round(r.unweighted_accuracy, 6) as rater_label_score, round(r.unweighted_f1, 6) as rater_label_f1score,
+  round(r.unweighted_precision, 6) as rater_label_precision, round(r.unweighted_recall, 6) as rater_label_recall,
+  round(x.unweighted_accuracy, 6) as rater_score, round(x.unweighted_f1, 6) as rater_f1score,
+  round(x.unweighted_precision, 6) as rater_precision, round(x.unweighted_recall, 6) as rater_recall
+from r left join r x on r.sample_ds = x.sample_ds and r.rater_id = x.rater_id""")
+def market_single_dashboard_rater(spark, sf):
+    return _single(spark, sf, "dashboard_rater")
+
+
 _NAMES = (("accuracy", "score"), ("f1", "f1score"), ("precision", "precision"), ("recall", "recall"))
 
 
@@ -170,7 +232,7 @@ PROJECTS = """select _project_id as project_id, _project_name as project_name, _
 from v_projects where _project_status = 'Active'"""
 
 
-@check(f"""with {ALLDATA},
+ROLLUP_SQL = f"""with {ALLDATA},
 r as (select week_ending, project_id, workflow, rater_id, parent_label, sum(weight) as tot_labels,
     sum(case when is_correct then weight else 0 end) as correct_labels, {CELLS} from alldata group by all),
 s as (select *, round(correct_labels / nullif(tot_labels, 0), 6) as rater_label_score, {quality("rater_label")} from r),
@@ -199,7 +261,10 @@ g as (select week_ending, project_id, project_name, segment, rater_id, target, p
 select week_ending, project_id, project_name, segment, rater_id, tot_labels, correct_labels, tp_count, fp_count, tn_count, fn_count,
   case when project_metric <> 'agreement' then score end as rater_accuracy,
   case when project_metric = 'agreement' then score end as rater_agreement,
-  rater_f1score, rater_precision, rater_recall, target as target_goal from g""")
+  rater_f1score, rater_precision, rater_recall, target as target_goal from g"""
+
+
+@check(ROLLUP_SQL)
 def contributor_rollup(spark, sf):
     audit = reports.audit_rater_label_summary(audit_long(spark, sf))
     multi = reports.multi_rater_label_summary(fx.view(spark, sf, "v_multi"))
@@ -210,6 +275,14 @@ def contributor_rollup(spark, sf):
     return table.withColumns({c: F.round(c, 12) for c in means})
 
 
+@check(f"""select week_ending as "Week Ending", project_id as "Project ID", concat('''', rater_id) as "Contributor ID",
+  sum(tot_labels) as "Total Labels", max(target_goal) as "Target Goal" from ({ROLLUP_SQL}) t group by all""")
+def contributor_display(spark, sf):
+    shown = rollups.contributor_display(contributor_rollup(spark, sf))
+    keys = ["Week Ending", "Project ID", "Contributor ID"]
+    return shown.groupBy(*keys).agg(F.sum("Total Labels").alias("Total Labels"), F.max("Target Goal").alias("Target Goal"))
+
+
 # --- catalogues ----------------------------------------------------------------------------
 
 WORKFLOWS = """select project_id, workflow from v_audit union select project_id, workflow from v_multi

@@ -239,6 +239,38 @@ def market_rollup(
     }
 
 
+def single_family_rollup(
+    overview: DataFrame, raters: DataFrame, config: MarketConfig
+) -> dict[str, DataFrame]:
+    """All tables of the roll-up of a project with one label family.
+
+    Its rows are used as they are: rater rows are counted per routing, not merged over them,
+    and overall and market rows are one per routing and positive category, not averaged. The
+    overall positivity is the mean of the markets'.
+    """
+    label = F.lit(config.combined_label)
+    over = market_overview(overview.withColumn("main_label", label), config)
+    rows = rater_label_market(raters.withColumn("main_label", label), config)
+    by_market = _raters_per(rows, ["sample_ds", "lang"]).withColumn("main_label", label)
+    shown = ["rater_count", "raters_above_target", "raters_above_target_perc", "audit_count", "positivity"]
+    market = market_label(over).join(by_market.select("sample_ds", "lang", *shown), ["sample_ds", "lang"], "left")
+    totals = by_market.groupBy("sample_ds", "main_label").agg(
+        *[F.sum(c).alias(c) for c in ("audit_count", "rater_count", "raters_above_target")],
+        F.avg("positivity").alias("positivity"),
+    )
+    overall = overall_label(over).join(totals, ["sample_ds", "main_label"], "left").withColumn(
+        "raters_above_target_perc", m.ratio(F.col("raters_above_target"), F.col("rater_count"))
+    )
+    return {
+        "overall": overall,
+        "market": market,
+        "rater": rows,
+        # one label: the project's means are joined by the date and its label
+        "dashboard_workflow": market_dashboard_workflow(market, overall, config),
+        "dashboard_rater": market_dashboard_rater(rows, rows, config),
+    }
+
+
 # --- contributors --------------------------------------------------------------------------
 
 CONTRIBUTOR_SUMS = ["tot_labels", "correct_labels", "tp_count", "fp_count", "tn_count", "fn_count"]
