@@ -225,3 +225,10 @@ select case when l_partkey % 17 <> 0 and l_partkey % 13 <> 0 then 'accepted' els
 from d where n = 1 group by 1""")
 def rejects_auditor_keyed(spark, sf):
     return clean.reject_stats(ll.tag_auditor_keyed_json(fx.query(spark, sf, RAW_KEYED)))
+
+
+@check("""select case when o_custkey % 11 = 0 then 'other_organization' when o_orderkey % 31 = 0 then 'self_audit'
+    when o_orderstatus not in ('F', 'O') then 'not_audited' else 'accepted' end as reject_reason, count(*) as row_count from orders group by 1""")
+def rejects_outcome_json(spark, sf):
+    config = {"organization_token": "Vendor", "drop_self_audits": True}
+    return clean.reject_stats(lo.outcome_rejects(fx.query(spark, sf, with_factors(JSON)), config, "json"))

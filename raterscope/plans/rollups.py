@@ -98,10 +98,6 @@ def _raters_per(df: DataFrame, keys: list[str]) -> DataFrame:
     return grouped.withColumn("raters_above_target_perc", share)
 
 
-def market_raters_by_label(rater_label: DataFrame) -> DataFrame:
-    return _raters_per(rater_label, ["sample_ds", "lang", "main_label"])
-
-
 def market_raters(rater_rows: DataFrame) -> DataFrame:
     return _raters_per(rater_rows, ["sample_ds", "lang"])
 

@@ -54,8 +54,6 @@ OUTCOME = dict(
     ]
 )
 
-BASES = {"audit": AUDIT, "multi": MULTI, "halo": OUTCOME}
-
 # The canonical column list, in its published order.
 CANONICAL = {
     "project_id": T.StringType(),
@@ -88,11 +86,6 @@ CANONICAL_SOURCES = {
 }
 
 
-def conform(df: DataFrame, contract: dict[str, T.DataType]) -> DataFrame:
-    """Select the contract's columns in order; absent ones become typed nulls."""
-    return df.select(*[_typed(df, name, dtype) for name, dtype in contract.items()])
-
-
 def _typed(df: DataFrame, name: str, dtype: T.DataType) -> Column:
     source = F.col(name) if name in df.columns else F.lit(None)
     return source.cast(dtype).alias(name)

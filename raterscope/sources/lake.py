@@ -33,7 +33,7 @@ def read_raw_csv(
     """CSV with every column a string, blanks as '', and each row's file and position.
 
     The strict parse fails on malformed lines. The permissive one reads backslash escapes
-    and Latin-1, for files whose header `needs_permissive_parse`. `multiline=False` lets
+    and Latin-1; `sources.raw` finds out which files need it. `multiline=False` lets
     Spark split files that have no line breaks inside quotes; a file that cannot be split is
     read by one task. `spread_rows` then deals its rows to all cores, at the price of a shuffle.
     """
