@@ -1,4 +1,4 @@
-"""Column contracts of the normalised long tables and of the canonical copy."""
+"""The column contract of the canonical copy of normalised long tables."""
 
 from __future__ import annotations
 
@@ -6,54 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_KEYS = [
-    ("project_id", T.StringType()),
-    ("reporting_week", T.DateType()),
-    ("content_week", T.DateType()),
-    ("workflow", T.StringType()),
-    ("job_date", T.DateType()),
-    ("rater_id", T.StringType()),
-]
-
-AUDIT = dict(
-    _KEYS
-    + [
-        ("auditor_id", T.StringType()),
-        ("job_id", T.StringType()),
-        ("parent_label", T.StringType()),
-        ("rater_response", T.StringType()),
-        ("auditor_response", T.StringType()),
-        ("is_label_binary", T.BooleanType()),
-        ("confusion_type", T.StringType()),
-        ("is_correct", T.BooleanType()),
-        ("weight", T.DoubleType()),
-    ]
-)
-
-MULTI = dict(
-    _KEYS
-    + [
-        ("job_id", T.StringType()),
-        ("parent_label", T.StringType()),
-        ("rater_response", T.StringType()),
-        ("weight", T.DoubleType()),
-    ]
-)
-
-OUTCOME = dict(
-    _KEYS
-    + [
-        ("auditor_id", T.StringType()),
-        ("job_id", T.StringType()),
-        ("job_correct", T.BooleanType()),
-        ("job_manual_score", T.DoubleType()),
-        ("rubric", T.StringType()),
-        ("factor", T.IntegerType()),
-        ("rubric_penalty", T.DoubleType()),
-        ("rubric_score", T.DoubleType()),
-    ]
-)
-
 # The canonical column list, in its published order.
 CANONICAL = {
     "project_id": T.StringType(),
