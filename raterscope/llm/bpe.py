@@ -4,14 +4,16 @@ Texts are split into words at white space, which no token crosses, so a word's i
 depend on its neighbours. Documents are packed into blocks of a bounded size; a block keeps
 its documents as positions in its own list of distinct words, and hands that list on in
 parts by the word's hash. All blocks' words of one part meet in one task, which encodes each
-distinct word once and answers each block in the order it asked. The answers join the block
-by position. Rows that are shuffled grow with the distinct words of blocks, not with the
+distinct word once and answers each block in the order it asked. Blocks lie in a table that is
+bucketed by block, so only words and answers are shuffled; answers join the block by position. Rows that are shuffled grow with the distinct words of blocks, not with the
 words. Decoding joins ids to the id-to-piece table, whose size the vocabulary bounds.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from raterscope.llm.common import register, table, text_bytes
-from raterscope.session import stored
+from raterscope.session import scratch_path
 
 BLOCK_BYTES = 16 << 20  # of text; a longer text is a block of its own
 LEAST_PARTS = 64
@@ -86,21 +88,28 @@ class _Packer:
         self.size += len(text or b"")
 
     def rows(self, ids: pa.Array) -> pa.RecordBatch:
-        words = list(self.words)
-        part_of = np.fromiter((zlib.crc32(w) % self.parts for w in words), np.int64, len(words))
-        order = np.argsort(part_of, kind="stable")
-        place_of = np.empty(len(words), np.uint32)
-        place_of[order] = np.arange(len(words), dtype=np.uint32)
+        """One row of documents, one for each part that has words.
+
+        Words are numbered by falling frequency, which keeps the positions small; the list of
+        parts in that order tells where the answer to a number is found.
+        """
         places = np.concatenate(self.places) if self.places else np.zeros(0, np.uint32)
+        words = list(self.words)
+        order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+        number = np.empty(len(words), np.uint32)
+        number[order] = np.arange(len(words), dtype=np.uint32)
+        words = [words[i] for i in order]
+        part_of = np.fromiter((zlib.crc32(w) % self.parts for w in words), np.uint32, len(words))
         ids_data = _ids_to_bytes(ids)
-        numbers = _shrink(np.array(self.counts, np.uint32), place_of[places] if len(words) else places)
+        numbers = _shrink(np.array(self.counts, np.uint32), number[places], part_of)
         payloads = [len(ids_data).to_bytes(8, "little") + ids_data + numbers]
         found = [DOCUMENTS]
-        cuts = np.searchsorted(part_of[order], np.arange(self.parts + 1))
-        press = zstandard.ZstdCompressor(level=1)
+        by_part = np.argsort(part_of, kind="stable")
+        cuts = np.searchsorted(part_of[by_part], np.arange(self.parts + 1))
+        press = zstandard.ZstdCompressor(level=3)
         for part in range(self.parts):
             if cuts[part] < cuts[part + 1]:
-                own = b" ".join([words[i] for i in order[cuts[part] : cuts[part + 1]]])
+                own = b" ".join([words[i] for i in by_part[cuts[part] : cuts[part + 1]]])
                 payloads.append(press.compress(own))
                 found.append(part)
         block = (TaskContext.get().partitionId() << 32) + self.number
@@ -112,8 +121,11 @@ class _Packer:
         )
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
-    """Blocks of documents and their distinct words; written once, so that block numbers hold."""
+def pack(docs: DataFrame, id_col: str, text_col: str, parts: int, buckets: int) -> DataFrame:
+    """Blocks of documents and their distinct words, written once, so that block numbers hold.
+
+    The table is bucketed by block in the shared folder.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, pending = _Packer(parts), []
@@ -131,7 +143,11 @@ def pack(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
             yield packer.rows(pa.concat_arrays(pending))
 
     source = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    return stored(source.mapInArrow(run, PACKED), "bpe-blocks")
+    name = f"bpe_blocks_{uuid.uuid4().hex}"
+    rows = source.mapInArrow(run, PACKED).withColumn("kind", F.least("part", F.lit(0)))
+    path = scratch_path(docs.sparkSession, name)
+    rows.write.bucketBy(buckets, "block").partitionBy("kind").option("path", path).saveAsTable(name)
+    return docs.sparkSession.table(name)
 
 
 def load(path: str):
@@ -186,93 +202,114 @@ def _answers(packed: DataFrame, definition: str) -> DataFrame:
             )
 
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = packed.where(F.col("part") != DOCUMENTS)
+    asked = packed.where(F.col("kind") != DOCUMENTS).select("block", "part", "payload")
     return asked.repartition(n, "part").sortWithinPartitions("part").mapInArrow(run, PACKED)
 
 
-def _assemble(rows: list[bytes], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The documents of one block from its own payload and the answers in the order of parts."""
-    head = int.from_bytes(rows[0][:8], "little")
-    keys = _ids_from_bytes(rows[0][8 : 8 + head])
-    counts, places = _grow(rows[0][8 + head :])
-    answers = [_grow(data) for data in rows[1:]]
-    sizes = np.concatenate([a[0] for a in answers] or [np.zeros(0, "<u4")]).astype(np.int64)
-    flat = np.concatenate([a[1] for a in answers] or [np.zeros(0, "<u4")]).astype(np.int32)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+def _assemble(documents: bytes, answers: list[bytes], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """`id` and `ids` of one block's documents, from what it packed and the answers by part."""
+    head = int.from_bytes(documents[:8], "little")
+    keys = _ids_from_bytes(documents[8 : 8 + head])
+    counts, places, part_of = _grow(documents[8 + head :])
+    pieces = [_grow(data) for data in answers]
+    sizes = np.concatenate([p[0] for p in pieces] or [np.zeros(0, "<u4")]).astype(np.int64)
+    flat = np.concatenate([p[1] for p in pieces] or [np.zeros(0, "<u4")]).astype(np.int32)
+    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    # answers come part by part, in each part by the words' numbers
+    answer_of = np.empty(len(part_of), np.int64)
+    answer_of[np.argsort(part_of, kind="stable")] = np.arange(len(part_of))
+    sizes, first = sizes[answer_of], first[answer_of]
     ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     step = 256
-    for first in range(0, len(keys), step):
-        last = min(first + step, len(keys))
-        own = places[ends[first] : ends[last]]
+    for low in range(0, len(keys), step):
+        high = min(low + step, len(keys))
+        own = places[ends[low] : ends[high]]
         lengths = sizes[own]
         offsets = np.concatenate([[0], np.cumsum(lengths)])
-        source = np.repeat(starts[own] - offsets[:-1], lengths) + np.arange(offsets[-1])
+        source = np.repeat(first[own] - offsets[:-1], lengths) + np.arange(offsets[-1])
         lists = pa.ListArray.from_arrays(
-            pa.array(offsets[ends[first : last + 1] - ends[first]].astype(np.int32)), pa.array(flat[source], pa.int32())
+            pa.array(offsets[ends[low : high + 1] - ends[low]].astype(np.int32)), pa.array(flat[source], pa.int32())
         )
-        yield pa.RecordBatch.from_arrays([keys.slice(first, last - first).cast(id_type), lists], names=["id", "ids"])
+        yield pa.RecordBatch.from_arrays([keys.slice(low, high - low).cast(id_type), lists], names=["id", "ids"])
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id column and `ids`, the tokens of each whole text, as the tokenizers library has them.
-
-    Null and empty texts and those of white space only have no ids. Repeated rows give
-    repeated rows; null ids stay null; an empty table gives an empty result. Other columns of
-    `docs` are not read. No special tokens are added, those written in a text are recognised.
-    """
+def encoded_blocks(
+    docs: DataFrame, path: str, id_col: str, text_col: str, fields: list[T.StructField], made
+) -> DataFrame:
+    """The id column and `fields`, which `made` gives for each batch of token lists."""
     spark = docs.sparkSession
     definition = load(path).to_str()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = pack(docs, id_col, text_col, max(LEAST_PARTS, n))
+    packed = pack(docs, id_col, text_col, max(LEAST_PARTS, n), n)
     key = docs.select(id_col).schema[0]
-    schema = T.StructType([T.StructField(id_col, key.dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField(id_col, key.dataType), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         id_type = to_arrow_type(key.dataType)
-        block, rows = None, []
         for batch in batches:
-            for own, payload in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if own != block:  # rows come sorted by block and part, the documents first
-                    if rows:
-                        yield from (b.rename_columns(schema.names) for b in _assemble(rows, id_type))
-                    block, rows = own, []
-                rows.append(payload)
-        if rows:
-            yield from (b.rename_columns(schema.names) for b in _assemble(rows, id_type))
+            for row in range(batch.num_rows):
+                answers = batch.column(1)[row].as_py() or []
+                for found in _assemble(batch.column(0)[row].as_py(), [a["payload"] for a in answers], id_type):
+                    yield pa.RecordBatch.from_arrays([found.column(0), *made(found.column(1))], names=schema.names)
+
+    # a block gets one answer of each part at most
+    answers = _answers(packed, definition).groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("part", "payload"))).alias("answers")
+    )
+    blocks = packed.where(F.col("kind") == DOCUMENTS).select("block", "payload").join(answers, "block", "left")
+    return blocks.select("payload", "answers").mapInArrow(run, schema)
 
-    rows = packed.where(F.col("part") == DOCUMENTS).unionByName(_answers(packed, definition))
-    return rows.repartition(n, "block").sortWithinPartitions("block", "part").mapInArrow(run, schema)
 
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """All columns of `encoded` and `decoded`: the pieces of its `ids`, joined by one space.
 
-    The id-to-piece table has one row per vocabulary entry, at most MAX_VOCABULARY, and goes
-    to every task, where ids take their pieces by position. Null `ids` decode to a null, ids
-    that the vocabulary lacks to nothing.
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id column and `ids`, the tokens of each whole text, as the tokenizers library has them.
+
+    Null and empty texts and those of white space only have no ids. Repeated rows give
+    repeated rows; null ids stay null; an empty table gives an empty result. Other columns of
+    `docs` are not read. No special tokens are added, those written in a text are recognised.
     """
+    return encoded_blocks(docs, path, id_col, text_col, [IDS], lambda lists: [lists])
+
+
+def _id_to_piece(path: str) -> list[str | None]:
+    """The pieces of a vocabulary by id: one row per entry, at most MAX_VOCABULARY."""
     tokenizer = load(path)
     if tokenizer.decoder is not None:
         raise ValueError("this vocabulary has a decoder of its own")
-    size = max(tokenizer.get_vocab(True).values()) + 1
-    pieces = encoded.sparkSession.sparkContext.broadcast([tokenizer.id_to_token(i) for i in range(size)])
+    return [tokenizer.id_to_token(i) for i in range(max(tokenizer.get_vocab(True).values()) + 1)]
+
+
+def _decoded(lists: pa.Array, id_to_piece: np.ndarray) -> list[str | None]:
+    """Join ids to their pieces by position; the last entry stands for unknown ids."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    last = len(id_to_piece) - 1
+    flat = np.where((flat < 0) | (flat >= last), last, flat)
+    out = []
+    for start, end, known in zip(*_bounds(lists), lists.is_valid().to_pylist(), strict=True):
+        own = id_to_piece[flat[start:end]].tolist()
+        out.append(" ".join([x for x in own if x is not None] if None in own else own) if known else None)
+    return out
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """All columns of `encoded` and `decoded`: the pieces of its `ids`, joined by one space.
+
+    The id-to-piece table goes to every task, where ids take their pieces by position. Null
+    `ids` decode to a null, ids that the vocabulary lacks to nothing.
+    """
+    pieces = encoded.sparkSession.sparkContext.broadcast(_id_to_piece(path))
     names = [*encoded.columns, "decoded"]
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_to_piece = np.array([*pieces.value, None], object)
         for batch in batches:
-            lists = batch.column(at)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = np.where((flat < 0) | (flat >= size), size, flat)
-            texts = []
-            for start, end in zip(*_bounds(lists), strict=True):
-                own = id_to_piece[flat[start:end]].tolist()
-                texts.append(" ".join([x for x in own if x is not None] if None in own else own))
-            made = pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=names)
+            texts = pa.array(_decoded(batch.column(at), id_to_piece), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=names)
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
@@ -285,14 +322,29 @@ def _bounds(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """`doc_id`, the number of tokens, and the SHA-256 of ids and of the decoded text."""
-    both = decode(encode(docs, path), path)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    """`doc_id`, the number of tokens, and the SHA-256 of ids and of the text decoded from them.
+
+    Ids and texts are digested where they are made, so that neither leaves its task.
+    """
+    pieces = docs.sparkSession.sparkContext.broadcast(_id_to_piece(path))
+    fields = [
+        T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+    tables: list[np.ndarray] = []
+
+    def made(lists: pa.Array) -> list[pa.Array]:
+        if not tables:  # once in each task
+            tables.append(np.array([*pieces.value, None], object))
+            tables.append(np.array([str(i) for i in range(len(pieces.value))], object))
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        texts = [sha(t) for t in _decoded(lists, tables[0])]
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        starts, ends = _bounds(lists)
+        ids = [sha(" ".join(tables[1][flat[a:b]].tolist())) for a, b in zip(starts, ends, strict=True)]
+        return [pa.array(ends - starts), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+
+    return encoded_blocks(docs, path, "doc_id", "text", fields, made)
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:
