@@ -116,7 +116,7 @@ def train(
     keyed = known.select("doc_id", "lang", hash_unit(F.col("doc_id"), seed=9).alias("_key"))
     # hashes are uniform, so the first ones of a language lie under a small bound; the ranks
     # then run over a few rows per language, not over all of a common one
-    sizes = known.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("_n")), "language-sizes")
     near = keyed.join(sizes, "lang").where(F.col("_key") * F.col("_n") <= 3 * sample + 50)
     order = W.partitionBy("lang").orderBy("_key", "doc_id")
     chosen = (
