@@ -9,6 +9,7 @@ with the license text, and what differs inside the aligned part is reported and
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from difflib import SequenceMatcher
 from functools import cache, lru_cache
 
@@ -20,6 +21,14 @@ from pyspark.sql import types as T
 
 from raterscope.llm.common import add_from_text, register, table
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution."
+)
+_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
 # Short notices and passages of well-known licenses, as their stewards publish them.
 TEMPLATES = {
     "MIT": [
@@ -53,17 +62,33 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version.",
+    ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", f"{_BSD} {_AS_IS}"],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met: Redistributions of source code must retain the above copyright "
-        "notice, this list of conditions and the following disclaimer.",
+        f"{_BSD} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        f"promote products derived from this software without specific prior written permission. {_AS_IS}",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
@@ -82,6 +107,15 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    **{
+        f"CC-BY-{short}-4.0": [
+            f"Licensed under CC BY-{short} 4.0.",
+            f"This work is licensed under a Creative Commons Attribution-{long} 4.0 International License.",
+        ]
+        for short, long in (
+            ("ND", "NoDerivatives"), ("NC-SA", "NonCommercial-ShareAlike"), ("NC-ND", "NonCommercial-NoDerivatives"),
+        )
+    },
     "all-rights-reserved": ["All rights reserved."],
 }
 # A sentence with one of these is a candidate.
@@ -93,7 +127,18 @@ RANKED = 3
 MOST_DIFFERENT = 0.15
 LEAST_WORDS = 3
 PIECE = 400  # words; longer sentences are looked at in overlapping pieces
-SENTENCE = re.compile(rb"[^\n]*?(?:[.!?](?=[ \t\r\f\v]|\n|$)|\n|$)")
+#: Lines of one paragraph belong together: a sentence ends at an end mark and white space, or at a blank line.
+END = re.compile(rb"[.!?](?=\s)|\n[ \t\r\f\v]*(?=\n)")
+SPACE = re.compile(rb"\s*")
+NEAR = 0.05  # templates that save less than the best by so little are confirmed as well
+AROUND = 4000  # bytes on each side that decide between licenses with the same sentence
+BULLET = re.compile(r"(?:^|(?<=[:.;]))[ \t/*#;]*\(?\d[.)]\s+(?=[A-Za-z])", re.M)
+#: Words that tell licenses apart; they and words with a digit must not differ.
+TELLING = {
+    "lesser", "library", "affero", "noncommercial", "sharealike", "noderivatives", "noderivs", "nc", "sa", "nd",
+    "neither", "endorse", "promote", "advertising",
+}
+SPDX = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
 BLOCK_TYPE = "array<struct<start:int,end:int,license:string,saved:double,n_different:int,differences:array<string>>>"
 
 
@@ -142,12 +187,26 @@ def _alone() -> zstandard.ZstdCompressor:
     return _compressor()
 
 
+def _told_apart(found: list[tuple[str, str]]) -> bool:
+    """Whether a differing word has a digit or tells licenses apart."""
+    for side in (side for pair in found for side in pair):
+        if any(c.isdigit() for c in side) or not TELLING.isdisjoint(re.split(r"[\s-]+", side)):
+            # "this library" for "this program" names the work, not the license
+            if side not in ("library", "this library"):
+                return True
+    return False
+
+
+def _same(part: list[str], found: list[tuple[str, str]]) -> bool:
+    return len(part) >= LEAST_WORDS and _weigh(found) <= MOST_DIFFERENT * len(part) and not _told_apart(found)
+
+
 @lru_cache(maxsize=10_000)
-def _rank(block: tuple[str, ...]) -> tuple[str, float, int, tuple[str, ...]]:
-    """The confirmed license of a sentence (or `unrecognised`), share saved, differences.
+def _rank(block: tuple[str, ...]) -> tuple[tuple[str, ...], float, int, tuple[str, ...]]:
+    """The confirmed licenses of a sentence that fit equally well, share saved, differences.
 
     The sentence may be a part of the license text, or have the whole text in it. Words with a
-    digit, such as versions, must not differ.
+    digit, such as versions, and those of TELLING must not differ.
     """
     data = " ".join(block).encode()
     plain = len(_alone().compress(data))
@@ -155,17 +214,35 @@ def _rank(block: tuple[str, ...]) -> tuple[str, float, int, tuple[str, ...]]:
         ((1 - len(c.compress(data)) / plain, -place) for place, (_, _, c) in enumerate(_prepared())), reverse=True
     )
     choices = []
-    for saved, place in ranked[:RANKED]:
+    for number, (saved, place) in enumerate(ranked):
+        if number >= RANKED and saved < ranked[0][0] - NEAR:
+            break
         name, words, _ = _prepared()[-place]
         for turned in (False, True):
             part, whole = (words, list(block)) if turned else (list(block), words)
             found = differences(part, whole)
-            same = len(part) >= LEAST_WORDS and _weigh(found) <= MOST_DIFFERENT * len(part)
-            same = same and not any(c.isdigit() for pair in found for c in "".join(pair))
             said = tuple(f"{a} -> {b}" if turned else f"{b} -> {a}" for a, b in found)
-            choices.append((not same, _weigh(found), -saved, name, said))
-    other, size, saved, name, said = min(choices)
-    return ("unrecognised" if other else name, -saved, size, said)
+            choices.append((not _same(part, found), _weigh(found), -saved, name, said))
+    other, size, saved, _, said = min(choices)
+    names = () if other else tuple(sorted({c[3] for c in choices if c[:2] == (other, size)}))
+    return names, -saved, size, said
+
+
+@lru_cache(maxsize=1000)
+def _decided(names: tuple[str, ...], around: tuple[str, ...]) -> str:
+    """The one of `names` with a whole text in the words around a sentence, or `unrecognised`."""
+    fit = set()
+    for name, words, _ in _prepared():
+        if name in names and _same(words, differences(words, list(around))):
+            fit.add(name)
+    return fit.pop() if len(fit) == 1 else "unrecognised"
+
+
+def _identifier(text: bytes) -> str:
+    """The license of an SPDX line; expressions of several and unknown ones are not recognised."""
+    said = re.split(rb"\*/|-->|#", text)[0].decode("utf-8", "replace").strip().lower()
+    known = {name.lower(): name for name in TEMPLATES if name != "all-rights-reserved"}
+    return known.get(re.sub(r"-(only|or-later)$|\+$", "", said), "unrecognised")
 
 
 def scan_text(text: bytes | None) -> list[dict]:
@@ -177,30 +254,37 @@ def scan_text(text: bytes | None) -> list[dict]:
         while at >= 0:
             places.add(at)
             at = lower.find(stem, at + 1)
-    out, end = [], -1
+    out, end, ends = [], -1, None
     for at in sorted(places):
         if at < end:
             continue
-        start = _start(text, at)
-        end = SENTENCE.match(text, start).end()
-        while end <= at:  # the sentence ended before the stem
-            start, end = end, SENTENCE.match(text, end).end()
-        words = words_of(text[start:end].decode("utf-8", "replace"))
+        if line := SPDX.match(text, at):
+            start, end = line.span()
+            words = words_of(line[0].decode("utf-8", "replace"))
+            saved = _rank(tuple(words[:PIECE]))[1]
+            out.append({"start": start, "end": end, "license": _identifier(line[1]), "saved": saved, "n_different": 0, "differences": []})
+            continue
+        if ends is None:  # found once, whatever the number of candidates
+            ends = [0, *(m.end() for m in END.finditer(text)), len(text)]
+        place = bisect_right(ends, at)
+        start = SPACE.match(text, max(ends[place - 1], end, 0)).end()
+        end = ends[place]
+        if line := SPDX.search(text, start, end):
+            end = line.start()
+            if end <= at:
+                continue
+        words = words_of(BULLET.sub("", text[start:end].decode("utf-8", "replace")))
         pieces = [tuple(words[i : i + PIECE]) for i in range(0, max(1, len(words) - PIECE // 2), PIECE // 2)]
         if words:
-            name, saved, size, found = min(map(_rank, pieces), key=lambda r: (r[0] == "unrecognised", r[2], -r[1]))
+            names, saved, size, found = min(map(_rank, pieces), key=lambda r: (not r[0], r[2], -r[1]))
+            name = names[0] if len(names) == 1 else "unrecognised"
+            if len(names) > 1:
+                around = text[max(0, start - AROUND) : end + AROUND].decode("utf-8", "replace")
+                name = _decided(names, tuple(words_of(BULLET.sub(" ", around))))
             out.append({"start": start, "end": end, "license": name, "saved": saved, "n_different": size, "differences": list(found)})
     return out
 
 
-def _start(text: bytes, at: int) -> int:
-    """Where the sentence around a place begins: after a line end, or an end mark and a space."""
-    start = text.rfind(b"\n", 0, at) + 1
-    for mark in (b". ", b"! ", b"? "):
-        start = max(start, text.rfind(mark, start, at) + 2 if text.rfind(mark, start, at) >= 0 else start)
-    return start
-
-
 def scan(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> DataFrame:
     """All columns of `docs` and an array of the candidate sentences found in each whole text.
 

@@ -46,3 +46,29 @@ def test_equal_to_a_plain_search(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in QUERIES["op7_license_scan"](spark, sf).collect():
         assert set(filter(None, r.licenses.split(","))) == {k for k, p in phrases.items() if p in texts[r.doc_id]}
+
+
+def test_near_misses():
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General "
+        "Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n"
+        "(at your option) any later version.\n"
+    )
+    assert names(gpl.format("", 3)) == ["GPL-3.0"] and names(gpl.format("", 2)) == ["GPL-2.0"]
+    assert names(gpl.format("Lesser ", 3)) == ["LGPL-3.0"] and names(gpl.format("Affero ", 3)) == ["AGPL-3.0"]
+    cc = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    assert names(cc.format("NonCommercial-NoDerivatives")) == ["CC-BY-NC-ND-4.0"]
+    assert names(cc.format("NonCommercial-Other-ShareAlike")) == ["unrecognised"]
+
+
+def test_clause_counts():
+    for name in ("BSD-2-Clause", "BSD-3-Clause"):
+        text = L.TEMPLATES[name][1].replace(". R", ".\n\n2. R").replace(": R", ":\n\n1. R").replace(". N", ".\n\n3. N")
+        assert {x for x in names(text) if x != "unrecognised"} == {name}
+    opening = L.TEMPLATES["BSD-2-Clause"][1].split(". ")[0] + "."
+    assert names(opening) == ["unrecognised"]
+
+
+def test_spdx_lines():
+    for line, name in (("MIT", "MIT"), ("GPL-3.0-or-later", "GPL-3.0"), ("BSD-2-Clause", "BSD-2-Clause"), ("MIT OR Apache-2.0", "unrecognised")):
+        assert names(f"// SPDX-License-Identifier: {line}\nint main;") == [name]
