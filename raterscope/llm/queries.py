@@ -2,8 +2,11 @@
 
 from raterscope.llm import (  # noqa: F401
     bpe,
+    centroids,
+    fill_middle,
     language_id,
     license_scan,
+    line_dedup,
     mixing,
     neighbours,
     quality_classifier,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-SCHEMA = (
-    "doc_id long, text string, lang string, source string, n_chars long, "
-    "size int, score string, shard int, slot int, host string, fp string, ids string, blocks int, "
-    "n_words string, component_id string, lang_pred string, copies int, decoded string"
-)
+#: Columns that operators use as names of results or of their own helpers.
+CLASHING = (
+    "size score shard slot host fp ids blocks n_words component_id lang_pred copies decoded "
+    "id node _rank _cell _before _ends _key2 _inside _best n form output kept n_lines cluster distance"
+).split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 
 EN = "The house of the old man is near the river and they walk there in the morning with the dog. "
 DE = "Das Haus des alten Mannes ist nicht weit vom Fluss und sie gehen am Morgen mit dem Hund dorthin. "
@@ -34,7 +35,7 @@ TEXTS = [
 
 
 def rows():
-    return [(i, t, lang, s, None if t is None else len(t), *[None] * 13) for i, t, lang, s in TEXTS]
+    return [(i, t, lang, s, None if t is None else len(t), *[f"own {c}" for c in CLASHING]) for i, t, lang, s in TEXTS]
 
 
 def documents(spark):
@@ -43,3 +44,9 @@ def documents(spark):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+def own_values(df, given_way=()):
+    """Whether the caller's columns that need not give way still hold what the caller put there."""
+    names = [c for c in CLASHING if c not in given_way]
+    return all(r[c] == f"own {c}" for r in df.select(*[f"`{c}`" for c in names]).collect() for c in names)
