@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raterscope.llm import bpe, language_id, mixing, near_copies, quality_classifier
+from raterscope.llm import bpe, language_id, mixing, quality_classifier, simhash
 from raterscope.llm.common import table
 from raterscope.session import stored
 
@@ -25,8 +25,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id and text of each group of near copies by five-word shingles."""
-    return near_copies.keep_one(docs)
+    """The row with the smallest id of each group of near duplicates by SimHash."""
+    return simhash.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", known_language),
     ("quality_classifier", good_quality),
-    ("near_copies", one_of_each),
+    ("simhash", one_of_each),
     ("mixing", mixed),
     ("bpe", encoded),
 ]
