@@ -113,10 +113,12 @@ def train(
     landmarks' n-grams and the sample's kernel values reach the driver.
     """
     known = labelled.where("doc_id is not null and lang is not null and text is not null")
-    keyed = known.select("doc_id", "lang", hash_unit(F.col("doc_id"), seed=9).alias("_key"))
+    # ids are counted, not rows, so repeated rows leave the sample as it is
+    keyed = known.select("doc_id", "lang").distinct().withColumn("_key", hash_unit(F.col("doc_id"), seed=9))
     # hashes are uniform, so the first ones of a language lie under a small bound; the ranks
     # then run over a few rows per language, not over all of a common one
-    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("_n")), "language-sizes")
+    keyed = stored(keyed, "language-keys")
+    sizes = stored(keyed.groupBy("lang").agg(F.count("*").alias("_n")), "language-sizes")
     near = keyed.join(sizes, "lang").where(F.col("_key") * F.col("_n") <= 3 * sample + 50)
     order = W.partitionBy("lang").orderBy("_key", "doc_id")
     chosen = (

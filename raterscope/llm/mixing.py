@@ -25,6 +25,7 @@ CYCLE = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
 LEVEL = 256
+LEAST_POWER = 15  # weights down to 2^-15 are spread over the buckets
 SLICES = 64
 
 
@@ -45,6 +46,18 @@ def sampling_key(identity: Column, weight: Column) -> Column:
     return -F.ln((digits + 0.5) / float(1 << 48)) / weight
 
 
+def bucket_of(key: Column) -> Column:
+    """A number under LEVEL^2 that rises with the key and holds few keys, whatever their weights.
+
+    It is the mean of the distribution functions for the weights 1, 1/2, 1/4 and so on to
+    2^-LEAST_POWER. A key of any weight between has a density of at most 2 * (LEAST_POWER + 1)
+    times that mean's, so a bucket is expected to hold no more than that part of LEVEL^-2.
+    """
+    falls = [F.exp(-key * 2.0**-i) for i in range(LEAST_POWER + 1)]
+    share = 1 - sum(falls[1:], falls[0]) / float(len(falls))
+    return F.least(F.floor(share * (LEVEL * LEVEL)).cast("int"), F.lit(LEVEL * LEVEL - 1))
+
+
 def source_targets(
     sizes: DataFrame,
     cycle: Sequence[int] = CYCLE,
@@ -82,9 +95,7 @@ def plan(rows: DataFrame, **targets) -> DataFrame:
     `rows` has `doc_id`, `source`, `size`, `key`. Of the sampled part, a document is taken if
     the budget reaches its middle, so the sum lies within half a document of the rest.
     """
-    # 1 - exp(-key) is uniform for weight 1, so buckets are filled evenly
-    bucket = F.floor((1 - F.exp(-F.col("key"))) * (LEVEL * LEVEL)).cast("int")
-    rows = rows.withColumn("_fine", F.least(bucket, F.lit(LEVEL * LEVEL - 1)))
+    rows = rows.withColumn("_fine", bucket_of(F.col("key")))
     fine = rows.groupBy("source", "_fine").agg(F.sum("size").alias("_size"))
     coarse = fine.groupBy("source", F.floor(F.col("_fine") / LEVEL).alias("_coarse")).agg(
         F.sum("_size").alias("_size")
@@ -171,9 +182,7 @@ def mix(
         F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice0") == F.col("_slice")),
         "left",
     )
-    bucket = F.least(
-        F.floor((1 - F.exp(-F.col("key"))) * (LEVEL * LEVEL)), F.lit(LEVEL * LEVEL - 1)
-    )
+    bucket = bucket_of(F.col("key"))
     chosen = (
         F.col("_only").isNull()
         | (bucket < F.col("_only"))

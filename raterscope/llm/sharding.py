@@ -52,7 +52,10 @@ def assign(docs: DataFrame, n_shards: int, seed: int = 7) -> DataFrame:
     `docs` named `shard` or `slot` give way. The driver sees one count per partition.
     """
     columns = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    part, place = free_name(columns, "_part"), free_name(columns, "_place")
+    own = []  # names of helper columns
+    for name in ("_part", "_place", "_rank", "_ends", "_key2", "_cell", "_before", "_inside", "_n"):
+        own.append(free_name([*columns, *own], name))
+    part, place, rank, ends_of, key2, cell, before, inside, n = own
     rows = stored(
         docs.select(*[F.col(f"`{c}`") for c in columns])
         .withColumn(part, F.spark_partition_id())
@@ -61,33 +64,30 @@ def assign(docs: DataFrame, n_shards: int, seed: int = 7) -> DataFrame:
     )
     counts = rows.groupBy(part).count().collect()
     counts = sorted((r[0], r[1]) for r in counts)
-    matrix = communication_matrix([n for _, n in counts], n_shards, seed)
+    matrix = communication_matrix([m for _, m in counts], n_shards, seed)
     ends = rows.sparkSession.createDataFrame(
         [(p, [int(x) for x in np.cumsum(m)]) for (p, _), m in zip(counts, matrix, strict=True)],
-        f"`{part}` int, `_ends` array<long>",
+        f"`{part}` int, `{ends_of}` array<long>",
     )
     permuted = W.partitionBy(part).orderBy(_key(place, seed, 1), place)
     dealt = (
-        rows.withColumn("_rank", F.row_number().over(permuted))
+        rows.withColumn(rank, F.row_number().over(permuted))
         .join(ends, part)
-        .withColumn("shard", F.size(F.filter("_ends", lambda end: end < F.col("_rank"))))
-        .withColumn("_key2", _key(place, seed, 2))
+        .withColumn("shard", F.size(F.filter(ends_of, lambda end: end < F.col(rank))))
+        .withColumn(key2, _key(place, seed, 2))
     )
     # a shard is cut by its second random key into cells that one task can sort
-    total = sum(n for _, n in counts)
+    total = sum(m for _, m in counts)
     cells = max(1, -(-total // (n_shards * ROWS_PER_CELL)))
-    dealt = dealt.withColumn("_cell", F.floor(F.col("_key2") * cells))
-    sizes = dealt.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-    before = F.coalesce(
-        F.sum("_n").over(W.partitionBy("shard").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    offsets = sizes.select("shard", "_cell", before.alias("_before"))
-    inside = W.partitionBy("shard", "_cell").orderBy("_key2", place)
+    dealt = dealt.withColumn(cell, F.floor(F.col(key2) * cells))
+    sizes = dealt.groupBy("shard", cell).agg(F.count("*").alias(n))
+    earlier = W.partitionBy("shard").orderBy(cell).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("shard", cell, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    in_cell = W.partitionBy("shard", cell).orderBy(key2, place)
     return (
-        dealt.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, ["shard", "_cell"])
-        .select(*[F.col(f"`{c}`") for c in columns], "shard", (F.col("_before") + F.col("_inside")).cast("long").alias("slot"))
+        dealt.withColumn(inside, F.row_number().over(in_cell) - 1)
+        .join(offsets, ["shard", cell])
+        .select(*[F.col(f"`{c}`") for c in columns], "shard", (F.col(before) + F.col(inside)).cast("long").alias("slot"))
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raterscope.llm.common import register, table
+from raterscope.llm.common import free_name, register, table
 
 #: The rules of the registered query.
 RULES = [
@@ -108,6 +108,7 @@ def judge(
         .withColumn("_found", digest(F.col("_suffix"), F.col("_start")))
         .withColumn("_prefix", F.substring("_found", 1, PREFIX_DIGITS))
     )
+    found = free_name(kept, "_best")
     best = (
         expressions.join(hashed, "_prefix")
         .where(F.col("_found") == F.col("_digest"))
@@ -117,12 +118,12 @@ def judge(
                 F.struct(
                     F.length("rule").alias("n"), F.length("_host").alias("m"), "verdict", "rule"
                 )
-            ).alias("_best")
+            ).alias(found)
         )
     )
     return rows.join(best, ["host", "path"], "left").select(
-        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col("_best.rule").alias("rule"),
-        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"),
+        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col(f"{found}.rule").alias("rule"),
+        F.coalesce(f"{found}.verdict", F.lit(default)).alias("verdict"),
     )
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,14 @@ def test_queries_equal_sql(spark, sf, name):
 def test_no_python_in_the_plan(spark, sf):
     plan = QUERIES["op3_mixing"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.3, 0.05, 2.0**-15])
+def test_buckets_stay_small_and_in_order(spark, weight):
+    n = 200_000
+    keys = spark.range(n).select(M.sampling_key(F.col("id").cast("string"), F.lit(weight)).alias("key"))
+    found = [(r.key, r.b) for r in keys.select("key", M.bucket_of(F.col("key")).alias("b")).orderBy("key").collect()]
+    buckets = [b for _, b in found]
+    assert buckets == sorted(buckets) and 0 <= buckets[0] and buckets[-1] < M.LEVEL**2
+    # the proven bound is 2 * (LEAST_POWER + 1) / LEVEL^2 of the rows, about a hundred of these
+    assert max(Counter(buckets).values()) < 1.6 * n * 2 * (M.LEAST_POWER + 1) / M.LEVEL**2

@@ -1,7 +1,10 @@
+import zlib
+
 import numpy as np
 
 from raterscope.llm import sharding as S
-from tests.llm.cases import documents, empty
+from raterscope.llm.queries import QUERIES
+from tests.llm.cases import documents, empty, own_values
 
 
 def check_law(found, n, shards):
@@ -20,6 +23,7 @@ def test_exact_sizes_and_gapless_slots(spark, sf, monkeypatch):
     found = S.assign(docs, 4)
     assert found.columns.count("shard") == 1 and "text" in found.columns
     check_law(found.collect(), docs.count(), 4)
+    assert own_values(found, ("shard", "slot"))
     real = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").repartition(7)
     check_law(S.assign(real, 24).collect(), real.count(), 24)
 
@@ -59,3 +63,11 @@ def test_written_shards_keep_the_order(spark, tmp_path):
     for shard in range(3):
         slots = [r.slot for r in spark.read.parquet(f"{path}/shard={shard}").collect()]
         assert slots == sorted(slots)
+
+
+def test_query_equals_plain_sizes_and_checksums(spark, sf):
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = QUERIES["op4_sharding"](spark, sf).collect()
+    check_law(found, len(docs), 24)
+    wanted = sorted((i, len(t) + 8, zlib.crc32(t), "rows", None) for i, t in docs.items())
+    assert sorted((r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in found) == wanted

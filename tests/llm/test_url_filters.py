@@ -47,3 +47,10 @@ def test_plan_reads_only_the_url(spark, sf):
 
     plan = QUERIES["op5_url_filters"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "html" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_named_like_helpers_stay(spark):
+    rows = [("http://a.net/es/", "b", "d", "s", 1)]
+    pages = spark.createDataFrame(rows, "url string, _best string, _digest string, _suffix string, page_id int")
+    r = U.judge(pages, U.rule_table(spark, U.RULES)).first()
+    assert (r["_best"], r["_digest"], r["_suffix"], r.page_id, r.rule, r.verdict) == ("b", "d", "s", 1, "net/es/", "block")
