@@ -232,10 +232,12 @@ def cluster_vectors(
     return assigned(points, prepared(centroids, pivots)), centroids
 
 
-def centroid_table(spark: SparkSession, centroids: np.ndarray) -> DataFrame:
-    """`cluster`, `centroid` (its components, joined by commas); a row per cluster."""
-    rows = [(i, ",".join(map(str, c))) for i, c in enumerate(centroids.tolist())]
-    return spark.createDataFrame(rows, "cluster int, centroid string")
+def cluster_table(found: DataFrame, centroids: np.ndarray) -> DataFrame:
+    """`cluster`, `cluster_inertia`, `inertia`, `centroid` (components joined by commas); a row per cluster."""
+    sums = {r[0]: r[1] for r in found.groupBy("cluster").agg(F.sum("distance")).collect()}
+    rows = [(i, sums.get(i, 0), sum(sums.values()), ",".join(map(str, c))) for i, c in enumerate(centroids.tolist())]
+    schema = "cluster int, cluster_inertia long, inertia long, centroid string"
+    return found.sparkSession.createDataFrame(rows, schema)
 
 
 def _round_sql(number: int) -> str:
@@ -273,12 +275,8 @@ from a{ROUNDS} a join sizes s on a.k = s.k join digests g on a.k = g.k
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, centroids = cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     found = stored(found.drop("measured"), "clusters")
-    names = centroid_table(spark, centroids).select("cluster", F.sha2(F.col("centroid").cast("binary"), 256).alias("centroid_sha256"))
-    inertia = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    # a row per cluster, so their sum needs no map-side part
-    totals = inertia.agg(F.sum("cluster_inertia").alias("inertia"))
-    sizes = inertia.join(names, "cluster").crossJoin(F.broadcast(totals))
-    return (
-        found.join(F.broadcast(sizes), "cluster")  # a row per cluster
-        .select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+    sizes = cluster_table(found, centroids)
+    return found.join(F.broadcast(sizes), "cluster").select(  # a row per cluster
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.col("centroid").cast("binary"), 256).alias("centroid_sha256"),
     )
