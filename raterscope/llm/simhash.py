@@ -18,7 +18,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,17 +55,18 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(2 * counts > len(last), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id` and `fp` (the fingerprint's bits as a signed long) of each row."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([source.schema["doc_id"], T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+    """`doc_id`, `fp` (the fingerprint's bits as a signed long) and the columns `more` of each row."""
+    source = docs.select(
+        F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"), *[c.alias(n) for n, c in more.items()]
+    )
+    fields = [f for f in source.schema.fields if f.name != "text"]
+    schema = T.StructType([*fields, T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(t) for t in text_bytes(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"]
-            )
+            made = np.array([fingerprint(t) for t in text_bytes(batch.column(0))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(made.view(np.int64))], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -207,50 +209,64 @@ def components(edges: DataFrame) -> DataFrame:
     return names
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    distance: int = DISTANCE,
-    blocks: int = BLOCKS,
-    chosen: int = CHOSEN,
-    bucket: int = BUCKET,
+def roots_of(
+    found: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, chosen: int = CHOSEN, bucket: int = BUCKET
 ) -> DataFrame:
+    """`fp`, `root`: the same root for all fingerprints that links connect; `found` has each `fp` once."""
+    if blocks - distance < chosen:
+        raise ValueError("with so many blocks chosen, close fingerprints may share no bucket")
+    links = stored(bucket_links(bucket_rows(found, blocks, chosen), distance, bucket), "simhash-links")
+    edges = links.where("b is not null")
+    large = links.where("b is null").select("a").distinct()
+    if large.limit(1).count():
+        edges = edges.unionByName(midpoint_links(large, distance))
+    joined = found.select("fp").join(components(edges).withColumnRenamed("node", "fp"), "fp", "left")
+    return joined.withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`doc_id`, `fp`, `component_id` for each row: the smallest id among all linked documents.
 
     Texts that are null or have no word have fingerprint zero and link like others. Repeated
     rows give repeated rows. Rows with a null id count as members; a component of such rows
     only has a null `component_id`. An empty table gives an empty result. Other columns of
-    `docs` are not read.
+    `docs` are not read. For `options` see `roots_of`.
     """
-    if blocks - distance < chosen:
-        raise ValueError("with so many blocks chosen, close fingerprints may share no bucket")
     rows = stored(fingerprints(docs, id_col, text_col), "simhash")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("_low")), "simhash-classes")
-    links = stored(bucket_links(bucket_rows(classes.select("fp"), blocks, chosen), distance, bucket), "simhash-links")
-    edges = links.where("b is not null")
-    large = links.where("b is null").select("a").distinct()
-    if large.limit(1).count():
-        edges = edges.unionByName(midpoint_links(large, distance))
-    roots = classes.join(
-        components(edges).withColumnRenamed("node", "fp"), "fp", "left"
-    ).withColumn("root", F.coalesce("root", "fp"))
-    lowest = roots.groupBy("root").agg(F.min("_low").alias("component_id"))
-    named = roots.select("fp", "root").join(lowest, "root").select("fp", "component_id")
+    roots = stored(roots_of(classes, **options), "simhash-roots")
+    lowest = classes.join(roots, "fp").groupBy("root").agg(F.min("_low").alias("component_id"))
+    named = roots.join(lowest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` whose id is their component's.
+    """One row of `docs` for each component: the one with the smallest id, nulls last.
 
-    Rows that share an id are one document, of which one row stays. Rows without an id cannot
-    be named and stay.
+    Texts that are null or have no word are linked like others. Rows that share an id are told
+    apart by their texts: each belongs to its own text's component, and of those that could
+    stand for one component the text with the smaller hash does. Of rows with equal id and text
+    the other columns decide, so reruns keep the same rows. Rows without id take part like
+    others. An empty table gives an empty result. For `options` see `roots_of`.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    mark = free_name(docs.columns, "_keep")
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(mark)).distinct()
-    kept = docs.join(keep, F.col(id_col) == F.col(mark), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    names = []
+    for name in ("_k1", "_k2", "_place"):
+        names.append(free_name(docs.columns + names, name))
+    own_id, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    # two hashes of id and text, as ids alone may repeat or be missing
+    keys = [F.xxhash64(F.lit(seed), own_id.isNull(), own_id, text) for seed in (1, 2)]
+    rows = stored(fingerprints(docs, id_col, text_col, k1=keys[0], k2=keys[1]), "simhash")
+    classes = stored(rows.select("fp").distinct(), "simhash-classes")
+    best = (
+        rows.join(roots_of(classes, **options), "fp").groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("best"))
+        .select(F.col("best.k1").alias(names[0]), F.col("best.k2").alias(names[1]))
+    )
+    simple = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant")) and c not in (id_col, text_col)]
+    order = [F.col(f"`{text_col}`").isNull(), *(F.col(f"`{c}`").asc_nulls_last() for c in simple)]
+    kept = docs.withColumns(dict(zip(names, keys))).join(best, names[:2], "left_semi")
+    first = F.row_number().over(W.partitionBy(*names[:2]).orderBy(*order))
+    return kept.withColumn(names[2], first).where(F.col(names[2]) == 1).select(*[f"`{c}`" for c in docs.columns])
 
 
 @register()

@@ -3,7 +3,7 @@ import pytest
 import xxhash
 
 from raterscope.llm import simhash as S
-from tests.llm.cases import documents, empty
+from tests.llm.cases import documents, empty, own_values
 
 
 def brute_fingerprint(text):
@@ -68,13 +68,27 @@ def test_chains_and_dense_groups(spark, monkeypatch, bucket):
 
 
 def test_keep_one(spark):
+    """One row for each component, by smallest id; rows without an id give way to those with one."""
     docs = documents(spark)
     kept = S.keep_one(docs)
-    assert kept.columns == docs.columns
-    found = S.near_duplicates(docs).where("doc_id is not null").collect()
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({r.component_id for r in found})
-    assert ids.count(None) == 2
+    assert kept.columns == docs.columns and own_values(kept)
+    rows = docs.collect()
+    homes = brute_components([brute_fingerprint(r.text) for r in rows], range(len(rows)))
+    last = lambda r: (r.doc_id is None, r.doc_id or 0)
+    wanted = [min(last(r) for r, h in zip(rows, homes, strict=True) if h == home) for home in set(homes)]
+    assert sorted(map(last, kept.collect())) == sorted(wanted)
+
+
+def test_keep_one_of_clashing_and_missing_ids(spark):
+    words = [f"w{i}" for i in range(200)]
+    text, other = " ".join(words), " ".join(reversed(words))
+    rows = [(None, text, 1), (None, text, 2), (1, other, 5), (1, other, 4), (1, text, 7), (2, text, 1), (None, None, 1), (None, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int").repartition(3)
+    found = {tuple(r) for r in S.keep_one(docs).collect()}
+    assert found == {(1, other, 4), (1, text, 7), (None, "", 0)}
+    alone = spark.createDataFrame([(None, text), (None, text), (None, other)], "doc_id long, text string")
+    assert sorted(r.text for r in S.keep_one(alone).collect()) == sorted([text, other])
+    assert S.keep_one(empty(spark)).count() == 0
 
 
 def test_empty_table_and_bad_blocks(spark):
