@@ -41,10 +41,17 @@ HIDDEN = 32
 STEPS = 4000
 PART = 256
 THRESHOLD = 0.3
-LOT = 1 << 18  # words handled at once, which bounds the memory of very long texts
-
-#: A run of letters, of digits, or of other characters that are no white space.
-TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\x09-\x0d\x20A-Za-z0-9\x80-\xff]+")
+CONTEXT_LOT = 1 << 18  # words whose neighbours are added up at once
+LOT = 1 << 11  # words pooled at once: their vectors fit a core's cache
+PIECE = 1 << 20  # bytes of text read at once, which bounds the memory of very long texts
+LONG_WORD = 32  # longer words are hashed one by one
+
+#: What a word is made of: a run of letters, of digits, or of other bytes that are no white space.
+KIND = np.full(256, 3, np.uint8)
+KIND[[*range(0x09, 0x0E), 0x20]] = 0
+KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = 1
+KIND[[*range(ord("0"), ord("9") + 1)]] = 2
+WORD_END = re.compile(rb"[\x09-\x0d\x20]")
 COLUMNS = [f"c{i}" for i in range(WIDTH)]
 
 
@@ -55,35 +62,82 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, draw.choice([-1, 1], (ROWS, NONZERO))
 
 
-class WordRows(dict):
-    """Word to hashed row; filled as words come, and emptied before it grows large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        row = self[word] = zlib.crc32(word) % ROWS
-        return row
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        words = TOKEN.findall(text or b"")
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
-def lots(texts: list[bytes | None], rows: WordRows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word rows and the number of their text, about LOT words at a time; long texts are cut."""
-    ids, owners, n = [], [], 0
+class WordRows:
+    """Hashed rows of words: CRC-32 modulo ROWS, taken byte by byte over many words at once."""
+
+    def __init__(self):
+        steps = np.arange(256, dtype=np.uint32)
+        for _ in range(8):
+            steps = (steps >> np.uint32(1)) ^ np.where(steps & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+        self.steps = steps
+
+    def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each word of `data`, and where the word begins."""
+        letters = np.frombuffer(data, np.uint8)
+        kinds = KIND[letters]
+        borders = np.flatnonzero(np.diff(kinds, prepend=0, append=0))  # white space has kind 0
+        starts = borders[kinds[np.minimum(borders, max(0, len(kinds) - 1))] > 0] if len(kinds) else borders
+        starts = starts[starts < len(kinds)]
+        sizes = borders[np.searchsorted(borders, starts) + 1] - starts
+        order = np.argsort(-np.minimum(sizes, LONG_WORD + 1), kind="stable")
+        first, longest = starts[order], sizes[order]
+        state = np.full(len(order), 0xFFFFFFFF, np.uint32)
+        left = np.searchsorted(-longest, -np.arange(LONG_WORD + 1), side="left") if len(order) else []
+        for place in range(min(LONG_WORD, int(longest[0]) if len(order) else 0)):
+            n = int(left[place])  # words longer than `place` come first
+            own = state[:n]
+            state[:n] = self.steps[(own ^ letters[first[:n] + place]) & np.uint32(0xFF)] ^ (own >> np.uint32(8))
+        state ^= np.uint32(0xFFFFFFFF)
+        rows = np.empty(len(order), np.int64)
+        rows[order] = state % np.uint32(ROWS)
+        for i in np.flatnonzero(sizes > LONG_WORD):
+            rows[i] = zlib.crc32(data[starts[i] : starts[i] + sizes[i]]) % ROWS
+        return rows, starts
+
+
+def pieces(texts: list[bytes | None]) -> Iterator[tuple[bytes, np.ndarray, int]]:
+    """Whole texts side by side, about PIECE bytes at a time: bytes, where texts begin, number of the first.
+
+    A longer text is cut in white space, or else where its word ends, and goes on in the next piece.
+    """
+    held, first, size = [], 0, 0
     for number, text in enumerate(texts):
-        own = rows.of(text)
-        for start in range(0, len(own), LOT):
-            part = own[start : start + LOT]
-            ids.append(part)
-            owners.append(np.full(len(part), number))
-            n += len(part)
-            if n >= LOT:
-                yield np.concatenate(ids), np.concatenate(owners)
-                ids, owners, n = [], [], 0
-    if n:
-        yield np.concatenate(ids), np.concatenate(owners)
+        text = text or b""
+        start = 0
+        while len(text) - start > PIECE:
+            if held:
+                yield b"\n".join(held), np.cumsum([0, *(len(t) + 1 for t in held[:-1])]), first
+                held, size = [], 0
+            cut = WORD_END.search(text, start + PIECE)
+            end = cut.start() if cut else len(text)
+            yield text[start:end], np.zeros(1, np.int64), number
+            start = end
+        if not held:
+            first = number
+        held.append(text[start:])
+        size += len(text) - start
+        if size > PIECE:
+            yield b"\n".join(held), np.cumsum([0, *(len(t) + 1 for t in held[:-1])]), first
+            held, size = [], 0
+    if held:
+        yield b"\n".join(held), np.cumsum([0, *(len(t) + 1 for t in held[:-1])]), first
+
+
+def lots(texts: list[bytes | None], rows: WordRows, most: int, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Word rows and the number of their text, at most `most` new words at a time.
+
+    The third value says how many of the first words were in the lot before: the last `reach`
+    come again, so that neighbours across the border of two lots are met once.
+    """
+    kept, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for data, begin, first in pieces(texts):
+        own, starts = rows.of(data)
+        number = np.searchsorted(begin, starts, side="right") - 1 + first
+        for low in range(0, len(own), most):
+            ids = np.concatenate([kept, own[low : low + most]])
+            owners = np.concatenate([owner, number[low : low + most]])
+            yield ids, owners, len(kept)
+            kept, owner = ids[-reach:], owners[-reach:]
 
 
 def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -98,10 +152,11 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
         rows = WordRows()
         sums, seen = np.zeros(ROWS * WIDTH), np.zeros(ROWS, np.int64)
         for batch in batches:
-            for ids, owners in lots(text_bytes(batch.column(0)), rows):
-                seen += np.bincount(ids, minlength=ROWS)
+            for ids, owners, old in lots(text_bytes(batch.column(0)), rows, CONTEXT_LOT, WINDOW):
+                seen += np.bincount(ids[old:], minlength=ROWS)
                 for step in range(1, WINDOW + 1):
                     same = owners[step:] == owners[:-step]
+                    same[: max(0, old - step)] = False  # both were in the lot before
                     left, right = ids[:-step][same], ids[step:][same]
                     for word, near in ((left, right), (right, left)):
                         cells = word[:, None] * WIDTH + places[near]
@@ -140,18 +195,22 @@ def pooled(texts: list[bytes | None], vectors: np.ndarray, rows: WordRows) -> np
     total = np.zeros((2, len(texts), WIDTH))
     near = np.zeros((len(texts), len(LAGS)))
     count = np.zeros(len(texts), np.int64)
-    for ids, owners in lots(texts, rows):
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(owners)) + 1])
-        own = owners[starts]
+    for ids, owners, old in lots(texts, rows, LOT, max(LAGS)):
         values = vectors[ids]
         for column, lag in enumerate(LAGS):
-            product = np.einsum("ij,ij->i", values[lag:], values[:-lag])
-            product *= owners[lag:] == owners[:-lag]
-            near[:, column] += np.bincount(owners[lag:], product, len(texts))
+            right = max(old, lag)  # a pair counts in the lot that its second word is new in
+            if right >= len(ids):
+                continue
+            product = np.einsum("ij,ij->i", values[right:], values[right - lag : len(ids) - lag])
+            product *= owners[right:] == owners[right - lag : len(ids) - lag]
+            near[:, column] += np.bincount(owners[right:], product, len(texts))
+        values, owners = values[old:], owners[old:]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(owners)) + 1])
+        own = owners[starts]
         total[0, own] += np.add.reduceat(values, starts, axis=0)
         np.square(values, out=values)
         total[1, own] += np.add.reduceat(values, starts, axis=0)
-        count[own] += np.diff(np.concatenate([starts, [len(ids)]]))
+        count[own] += np.diff(np.concatenate([starts, [len(owners)]]))
     size = np.maximum(count, 1)[:, None]
     mean, square = total / size
     spread = np.sqrt(np.maximum(square - mean**2, 0))

@@ -1,5 +1,6 @@
 """Language identification and the quality classifier, on edge cases and held-out accuracy."""
 
+import re
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from raterscope.llm import language_id as L
 from raterscope.llm import quality_classifier as C
 from raterscope.llm.queries import QUERIES
-from tests.llm.cases import LONG, documents, empty
+from tests.llm.cases import DE, EN, LONG, documents, empty
 
 MID = "/root/testdata/sf0.01"
 
@@ -48,6 +49,15 @@ def test_language_edge_cases(spark):
     assert L.identify(empty(spark).select("text"), model).count() == 0
 
 
+def test_repeated_rows_teach_as_once(spark):
+    docs = documents(spark).select("doc_id", "text", "lang")
+    more = [(100 + i, f"{EN} number {i}", "en") for i in range(40)] + [(200 + i, f"{DE} nummer {i}", "de") for i in range(40)]
+    once = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    often = once.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("again")
+    one, many = (L.train(x) for x in (once, often))
+    assert one.presence.shape == many.presence.shape and np.allclose(one.weights, many.weights)
+
+
 def test_language_held_out_accuracy(spark):
     found = QUERIES["op9_language_id"](spark, MID).join(spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert all(r.held_out == (fold(r.doc_id, 4) == 2) for r in found)
@@ -82,6 +92,56 @@ def test_long_texts_pool_as_in_one_piece(monkeypatch):
     assert np.allclose(whole, C.pooled(texts, vectors, C.WordRows()), atol=1e-2)
 
 
+def plain_pooled(text, vectors):
+    """Mean, spread, lagged products and length by loops over one text's words."""
+    words = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\x09-\x0d\x20A-Za-z0-9\x80-\xff]+", text or b"")
+    own = vectors[[zlib.crc32(w) % C.ROWS for w in words]].astype(float)
+    n = max(1, len(words))
+    mean = own.sum(axis=0) / n
+    spread = np.sqrt(np.maximum((own**2).sum(axis=0) / n - mean**2, 0))
+    near = [sum(float(own[i] @ own[i - lag]) for i in range(lag, len(words))) / n for lag in C.LAGS]
+    return np.concatenate([mean, spread, near, [np.log1p(len(words)) / 10]])
+
+
+@pytest.mark.parametrize("lot,piece", [(1 << 11, 1 << 20), (7, 50), (1, 1), (1000, 300)])
+def test_pools_equal_plain_loops(monkeypatch, lot, piece):
+    monkeypatch.setattr(C, "LOT", lot)
+    monkeypatch.setattr(C, "PIECE", piece)
+    vectors = np.random.default_rng(0).normal(size=(C.ROWS, C.WIDTH)).astype(np.float32)
+    texts = [b"a b", b"", None, b"one two  three\n1a2b!? " * 9, b"   ", b"x" * 700 + b" y", "É漢 ".encode() * 20, b"z"]
+    found = C.pooled(texts, vectors, C.WordRows())
+    wanted = np.array([plain_pooled(t, vectors) for t in texts])
+    spread = slice(C.WIDTH, 2 * C.WIDTH)
+    for x in (found, wanted):
+        x[:, spread] **= 2  # a root would enlarge the rounding of differences near zero
+    assert np.allclose(found, wanted, atol=1e-5)
+
+
+@pytest.mark.parametrize("lot,piece", [(2, 9), (5, 1), (1 << 18, 40)])
+def test_contexts_do_not_depend_on_lots(spark, monkeypatch, lot, piece):
+    rows = C.WordRows()
+    texts = [b"a b c a d e f", None, b"", b"g h" * 30, b"a a a a a a a a"]
+
+    def pairs():
+        found = {}
+        for ids, owners, old in C.lots(texts, rows, lot, C.WINDOW):
+            for i in range(old, len(ids)):
+                for j in range(max(0, i - C.WINDOW), i):
+                    if owners[i] == owners[j]:
+                        key = (int(owners[i]), int(ids[j]), int(ids[i]))
+                        found[key] = found.get(key, 0) + 1
+        return found
+
+    whole = {}
+    for number, text in enumerate(texts):
+        ids = rows.of(text or b"")[0].tolist()
+        for i in range(len(ids)):
+            for j in range(max(0, i - C.WINDOW), i):
+                whole[number, ids[j], ids[i]] = whole.get((number, ids[j], ids[i]), 0) + 1
+    monkeypatch.setattr(C, "PIECE", piece)
+    assert pairs() == whole
+
+
 def test_quality_edge_cases(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(i, int(i % 2), None) for i in range(1, 15)] + [(None, 1, 1), (3, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
