@@ -24,8 +24,23 @@ MODULES: dict[str, Normalizer] = {
     "GENERIC": labels.normalize_by_config,
 }
 
+_BUILT_IN = dict(MODULES)
 ADHOC: dict[str, Normalizer] = {}
 
+#: The two steps of each normaliser: raw rows to tagged ones (`reject_reason`, null where accepted),
+#: and tagged rows, stored in between, to long ones. Rejects are so counted without reading twice.
+Steps = tuple[Normalizer, Normalizer]
+STEPS: dict[str, Steps] = {
+    "UQD": (labels.tag_decision_json, labels.finish_decision_json),
+    "CVS": (lambda df, _: labels.tag_auditor_keyed_json(df), labels.finish_auditor_keyed_json),
+    "HALO": (outcome.tag_outcome_wide, lambda t, c: outcome.finish_outcome(t, c, outcome.WIDE_APPROVED)),
+    "GALA": (outcome.tag_outcome_json, lambda t, c: outcome.finish_outcome(t, c, outcome.JSON_APPROVED)),
+    "SPOTCHECK": (labels.tag_long_audit, labels.finish_long_audit),
+    "GENERIC": (labels.tag_by_config, labels.finish_by_config),
+}
+RELEVANCE: Steps = (lambda df, _: labels.tag_adhoc_relevance(df), lambda t, _: labels.finish_adhoc_relevance(t))
+ADHOC_STEPS: dict[str, Steps] = {}
+
 
 def register(name: str, normalizer: Normalizer, project_id: str | None = None) -> None:
     """Add a module, or the ad-hoc normaliser of one project."""
@@ -47,6 +62,17 @@ def find(module: str | None, project_id: str | None = None) -> Normalizer:
     raise ValueError(f"unknown module {module!r}")
 
 
+def find_steps(module: str | None, project_id: str | None = None) -> Steps:
+    """The steps of a module. A normaliser without steps of its own accepts all rows."""
+    if module == "ADHOC" and project_id in ADHOC_STEPS:
+        return ADHOC_STEPS[project_id]
+    if module in STEPS and MODULES[module] is _BUILT_IN[module]:
+        return STEPS[module]
+    whole = find(module, project_id)
+    accept = lambda df, _: df.withColumn("reject_reason", F.lit(None).cast("string"))
+    return accept, lambda tagged, config: whole(clean.accepted(tagged), config)
+
+
 def normalize(
     df: DataFrame,
     project_config: dict,

@@ -75,7 +75,12 @@ def tag_decision_json(df: DataFrame, config: dict) -> DataFrame:
 
 
 def normalize_decision_json(df: DataFrame, config: dict) -> DataFrame:
-    """Long audit or multi rows; per file, the last row of a rater and job counts.
+    """Long audit or multi rows; per file, the last row of a rater and job counts."""
+    return finish_decision_json(tag_decision_json(df, config), config)
+
+
+def finish_decision_json(tagged: DataFrame, config: dict) -> DataFrame:
+    """Long rows of tagged ones.
 
     A row rejected for its JSON never displaces an accepted one: accepted rows sort first
     and the reject test follows the dedupe. The parsed rows are stored, because the label
@@ -84,7 +89,7 @@ def normalize_decision_json(df: DataFrame, config: dict) -> DataFrame:
     audit = _needs_auditor(config)
     sides = ["rater", "auditor"] if audit else ["rater"]
     excluded = config.get("excluded_labels", [])
-    tagged = tag_decision_json(df, config).withColumns(
+    tagged = tagged.withColumns(
         {f"{side}_map": payload.label_map(F.col(f"{side}_labels"), excluded) for side in sides}
     )
     files = carried(tagged)
@@ -151,8 +156,11 @@ def tag_auditor_keyed_json(df: DataFrame) -> DataFrame:
 
 def normalize_auditor_keyed_json(df: DataFrame, config: dict) -> DataFrame:
     """Long audit rows over the union of rater and auditor labels of each file."""
+    return finish_auditor_keyed_json(tag_auditor_keyed_json(df), config)
+
+
+def finish_auditor_keyed_json(tagged: DataFrame, config: dict) -> DataFrame:
     excluded = config.get("excluded_labels", [])
-    tagged = tag_auditor_keyed_json(df)
     rows = clean.accepted(tagged).drop(*positions(tagged)).withColumns(
         {
             f"{side}_map": payload.label_map(F.col(f"{side}_labels"), excluded)
@@ -200,7 +208,11 @@ def tag_long_audit(df: DataFrame, config: dict) -> DataFrame:
 
 def normalize_long_audit(df: DataFrame, config: dict) -> DataFrame:
     """Rows that already hold one label each."""
-    return audit_flags(clean.accepted(tag_long_audit(df, config)), config)
+    return finish_long_audit(tag_long_audit(df, config), config)
+
+
+def finish_long_audit(tagged: DataFrame, config: dict) -> DataFrame:
+    return audit_flags(clean.accepted(tagged), config)
 
 
 # --- configured columns ----------------------------------------------------------------
@@ -208,15 +220,19 @@ def normalize_long_audit(df: DataFrame, config: dict) -> DataFrame:
 
 def normalize_by_config(df: DataFrame, config: dict) -> DataFrame:
     """Any layout described by column names: audit, multi (wide or long) or outcome."""
+    return finish_by_config(tag_by_config(df, config), config)
+
+
+def finish_by_config(tagged: DataFrame, config: dict) -> DataFrame:
     method = config.get("quality_methodology")
     if method == "outcome":
-        return _configured_outcome(df, config)
+        return _configured_outcome(tagged, config)
     if method == "audit":
-        return _configured_audit(df, config)
+        return _configured_audit(tagged, config)
     if method == "multi" and config.get("data_structure") == "unpivoted":
-        return _configured_long(df, config)
+        return _configured_long(tagged, config)
     if method == "multi" and config.get("data_structure") == "pivoted":
-        return _configured_wide(df, config)
+        return _configured_wide(tagged, config)
     raise ValueError(f"unknown methodology or data structure: {method!r}")
 
 
@@ -246,8 +262,8 @@ def tag_by_config(df: DataFrame, config: dict) -> DataFrame:
     )
 
 
-def _configured_base(df: DataFrame, config: dict) -> tuple[DataFrame, list[str]]:
-    rows = clean.accepted(tag_by_config(df, config))
+def _configured_base(tagged: DataFrame) -> tuple[DataFrame, list[str]]:
+    rows = clean.accepted(tagged)
     roles = ["workflow", "job_date", "rater_id", "auditor_id", "job_id"]
     return rows, [c for c in carried(rows) + roles if c in rows.columns]
 
@@ -273,8 +289,8 @@ def answer_columns(rater: Column, auditor: Column, kind: str) -> tuple[Column, C
     raise ValueError(f"unknown auditor column type: {kind!r}")
 
 
-def _configured_audit(df: DataFrame, config: dict) -> DataFrame:
-    rows, base = _configured_base(df, config)
+def _configured_audit(tagged: DataFrame, config: dict) -> DataFrame:
+    rows, base = _configured_base(tagged)
     labels = []
     for item in config["labels"]:
         auditor = F.col(f"`{item['auditor_label_column']}`")
@@ -299,8 +315,8 @@ def _configured_audit(df: DataFrame, config: dict) -> DataFrame:
     )
 
 
-def _configured_wide(df: DataFrame, config: dict) -> DataFrame:
-    rows, base = _configured_base(df, config)
+def _configured_wide(tagged: DataFrame, config: dict) -> DataFrame:
+    rows, base = _configured_base(tagged)
     labels = [
         {
             "parent_label": item["label_name"],
@@ -312,8 +328,8 @@ def _configured_wide(df: DataFrame, config: dict) -> DataFrame:
     return reshape.unpivot_labels(rows, base, labels).withColumn("weight", weight)
 
 
-def _configured_long(df: DataFrame, config: dict) -> DataFrame:
-    rows, base = _configured_base(df, config)
+def _configured_long(tagged: DataFrame, config: dict) -> DataFrame:
+    rows, base = _configured_base(tagged)
     long = rows.select(
         *base,
         F.col(f"`{config['label_column']}`").alias("parent_label"),
@@ -324,8 +340,8 @@ def _configured_long(df: DataFrame, config: dict) -> DataFrame:
     return kept.withColumn("weight", weight)
 
 
-def _configured_outcome(df: DataFrame, config: dict) -> DataFrame:
-    rows, base = _configured_base(df, config)
+def _configured_outcome(tagged: DataFrame, config: dict) -> DataFrame:
+    rows, base = _configured_base(tagged)
     status = F.coalesce(F.col(f"`{config['outcome_column']}`"), F.lit(""))
     hit = clean.outcome_flag(
         status,
@@ -415,7 +431,11 @@ def tag_adhoc_relevance(df: DataFrame) -> DataFrame:
 
 def normalize_adhoc_relevance(df: DataFrame, config: dict | None = None) -> DataFrame:
     """Two labels per job: relevance is compared, the reason is informative (weight 0)."""
-    rows = derive_relevance_answers(clean.accepted(tag_adhoc_relevance(df)))
+    return finish_adhoc_relevance(tag_adhoc_relevance(df))
+
+
+def finish_adhoc_relevance(tagged: DataFrame) -> DataFrame:
+    rows = derive_relevance_answers(clean.accepted(tagged))
     base = carried(rows) + ["workflow", "job_date", "job_id", "rater_id", "auditor_id"]
 
     def side(prefix: str, label: str) -> Column:

@@ -49,6 +49,10 @@ ROLES = ["workflow", "job_date", "rater_id", "auditor_id", "job_id"]
 
 def normalize_outcome_wide_rubric(df: DataFrame, config: dict) -> DataFrame:
     """One column per rubric entry; non-zero numbers are factors."""
+    return finish_outcome(stored(tag_outcome_wide(df, config), "outcome-rows"), config, WIDE_APPROVED)
+
+
+def tag_outcome_wide(df: DataFrame, config: dict) -> DataFrame:
     mapped = clean.map_columns(with_source(df), WIDE_RULES, config.get("info_columns"))
     known = {*WIDE_INFO_COLUMNS, *WIDE_RULES, *carried(mapped), *positions(mapped)}
     entries = [c for c in mapped.columns if c not in known]
@@ -60,11 +64,15 @@ def normalize_outcome_wide_rubric(df: DataFrame, config: dict) -> DataFrame:
     )
     # A blank or zero cell is no item of the row.
     items = F.filter(pairs, lambda p: p["factor"] != 0)
-    return _normalize(mapped, items, config, WIDE_APPROVED)
+    return _tagged_items(mapped, items, config)
 
 
 def normalize_outcome_json_rubric(df: DataFrame, config: dict) -> DataFrame:
     """Rubric as a JSON question list; the factor is the number of "Yes" answers."""
+    return finish_outcome(stored(tag_outcome_json(df, config), "outcome-rows"), config, JSON_APPROVED)
+
+
+def tag_outcome_json(df: DataFrame, config: dict) -> DataFrame:
     mapped = clean.map_columns(with_source(df), JSON_RULES, config.get("info_columns"))
     if "job_rubric" not in mapped.columns:
         mapped = mapped.withColumn("job_rubric", F.lit(None).cast("string"))
@@ -74,7 +82,7 @@ def normalize_outcome_json_rubric(df: DataFrame, config: dict) -> DataFrame:
             F.trim(e["key"]).alias("entry"), e["value"].cast("double").alias("factor")
         ),
     )
-    return _normalize(mapped, items, config, JSON_APPROVED)
+    return _tagged_items(mapped, items, config)
 
 
 def outcome_rejects(df: DataFrame, config: dict, layout: str) -> DataFrame:
@@ -103,23 +111,25 @@ def _tag(mapped: DataFrame, config: dict) -> DataFrame:
     return clean.tag_rejects(typed, checks).drop("_same_person")
 
 
-def _normalize(mapped: DataFrame, items: Column, config: dict, approved: str) -> DataFrame:
-    """Rubric of each file from all its rows, then long rows of the accepted ones.
-
-    The penalties are inferred before rows are rejected: a row with a bad date still
-    tells what an entry costs.
-    """
-    scope, order = carried(mapped), positions(mapped)
+def _tagged_items(mapped: DataFrame, items: Column, config: dict) -> DataFrame:
+    """What the finish needs of each row, tagged: place, roles, status, items and score."""
     if "manual_score" in mapped.columns:
         score = clean.number(F.col("manual_score"))
     else:
         score = F.lit(None).cast("double")
-    columns = [*scope, *order, *ROLES, "status"]
+    columns = [*carried(mapped), *positions(mapped), *ROLES, "status"]
     columns += [c for c in ("auditor_organization",) if c in mapped.columns]
-    rows = stored(
-        mapped.select(*columns, items.alias("items"), score.alias("score")), "outcome-rows"
-    )
-    records = rows.select(*scope, F.struct(*order).alias("row_id"), "items", "score")
+    return _tag(mapped.select(*columns, items.alias("items"), score.alias("score")), config)
+
+
+def finish_outcome(tagged: DataFrame, config: dict, approved: str) -> DataFrame:
+    """Rubric of each file from all its rows, then long rows of the accepted ones.
+
+    The penalties are inferred before rows are rejected: a row with a bad date still
+    tells what an entry costs. `tagged` is read several times, so it comes from a stored table.
+    """
+    scope, order = carried(tagged), positions(tagged)
+    records = tagged.select(*scope, F.struct(*order).alias("row_id"), "items", "score")
     configured = config.get("rubric", [])
     penalties = {
         r["rubric_extended"]: r["rubric_penalty"]
@@ -128,7 +138,7 @@ def _normalize(mapped: DataFrame, items: Column, config: dict, approved: str) ->
     }
     names = {r["rubric_extended"]: r["rubric_name"] for r in configured if r.get("rubric_name")}
     rubric = rb.name_rubric(rb.infer_penalties(records, scope, penalties), scope, names)
-    kept = clean.accepted(_tag(rows, config)).select(
+    kept = clean.accepted(tagged).select(
         *scope,
         *ROLES,
         F.coalesce(F.col("status") == approved, F.lit(False)).alias("job_correct"),

@@ -125,21 +125,44 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(root)
 
 
+def exists(spark: SparkSession, root: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def clear_partitions(spark: SparkSession, root: str, keys: Sequence[str], weeks: DataFrame, written: DataFrame) -> None:
-    """Empty the partitions of the touched weeks (`weeks`) that `written` has no row of.
+    """Remove the partitions of the touched weeks (`weeks`) that `written` has no row of.
 
-    `keys` are the table's partition columns, outermost first. One small job per partition.
+    `keys` are the table's partition columns, outermost first. One job finds the partitions; their
+    folders are removed through the file system, so the number of jobs does not grow with them.
+    A file without rows stays under the null partition, so a table that lost all rows keeps its
+    schema.
     """
-    touched = read_table(spark, root).join(weeks, weeks.columns, "left_semi").select(*keys).distinct()
+    if not exists(spark, root):
+        return
+    table = read_table(spark, root)
+    touched = table.join(weeks, weeks.columns, "left_semi").select(*keys).distinct()
     stale = touched.join(written.select(*keys).distinct(), list(keys), "left_anti").collect()
-    data = [f for f in read_table(spark, root).schema if f.name not in keys]
+    if not stale:
+        return
+    anchor = "/".join([root, *(f"{k}={NULL_PARTITION}" for k in keys), "schema"])
+    if not exists(spark, anchor):
+        data = [f for f in table.schema if f.name not in keys]
+        spark.createDataFrame([], T.StructType(data)).coalesce(1).write.mode("overwrite").parquet(anchor)
+    system = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     for row in stale:
-        folder = "/".join(f"{k}={_escape(row[k])}" for k in keys)
-        spark.createDataFrame([], T.StructType(data)).write.mode("overwrite").parquet(f"{root}/{folder}")
+        folder = "/".join([root, *(f"{k}={_escape(row[k])}" for k in keys)])
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+
+
+#: The name Spark gives a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _escape(value) -> str:
     """A partition value as Spark writes it into a path."""
+    if value is None or value == "":
+        return NULL_PARTITION
     return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^' or ord(c) < 32 or c == "\x7f" else c for c in str(value))
 
 
