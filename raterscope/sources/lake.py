@@ -126,8 +126,12 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, root: str) -> bool:
+    """Whether a folder holds anything to read; the marks of a write without rows do not count."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(path))
 
 
 def clear_partitions(spark: SparkSession, root: str, keys: Sequence[str], weeks: DataFrame, written: DataFrame) -> None:

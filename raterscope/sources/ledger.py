@@ -130,7 +130,7 @@ def active_only(entries: DataFrame, projects: DataFrame) -> DataFrame:
 
 # --- event log --------------------------------------------------------------------------
 
-# States of a work item, in order.
+# States of a work item, in order. `plans.sync` adds `removed` for files that are gone.
 STATES = ["enqueued", "processing", "transformed", "failed", "synced"]
 
 
