@@ -2,8 +2,10 @@
 
 Sentences that speak of licensing are compressed alone and with each license text as a raw
 dictionary of zstandard. The text that saves the most bytes is the likeliest origin. The
-best candidates are then confirmed by exact wording: the words of the sentence are aligned
-with the license text, and what differs inside the aligned part is reported and counted.
+best candidates, and all that share a few words in a row with the sentence, are then confirmed
+by exact wording: the words of the sentence are aligned with the license text, and what differs
+inside the aligned part is reported and counted. A sentence may grant several licenses, each by
+its own stretch of words. Where licenses share a sentence, the notice around it decides.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import re
 from bisect import bisect_right
 from difflib import SequenceMatcher
 from functools import cache, lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
@@ -118,6 +121,27 @@ TEMPLATES = {
     },
     "all-rights-reserved": ["All rights reserved."],
 }
+# The names under which licenses are granted in running text.
+TITLES = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License"],
+    "ISC": ["ISC License"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License"],
+}
+GRANTS = ("under the", "under the terms of the", "under either the")
+JOINS = ("or the", "and the")  # these grant only beside another license of the sentence
+#: What may follow a license's identifier without making it another license.
+SUFFIXES = ("", "-only", "-or-later", "+")
 # A sentence with one of these is a candidate.
 STEMS = (b"licens", b"licenc", b"copyright", b"rights reserved", b"permission", b"redistribut",
          b"public domain", b"creative commons", b"warrant", b"free software", b"spdx")
@@ -131,7 +155,7 @@ PIECE = 400  # words; longer sentences are looked at in overlapping pieces
 END = re.compile(rb"[.!?](?=\s)|\n[ \t\r\f\v]*(?=\n)")
 SPACE = re.compile(rb"\s*")
 NEAR = 0.05  # templates that save less than the best by so little are confirmed as well
-AROUND = 4000  # bytes on each side that decide between licenses with the same sentence
+WINDOW = 3  # words that a sentence and a template have in common, for which the template is confirmed as well
 BULLET = re.compile(r"(?:^|(?<=[:.;]))[ \t/*#;]*\(?\d[.)]\s+(?=[A-Za-z])", re.M)
 #: Words that tell licenses apart; they and words with a digit must not differ.
 TELLING = {
@@ -139,6 +163,7 @@ TELLING = {
     "neither", "endorse", "promote", "advertising",
 }
 SPDX = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
+COMMENT_END = re.compile(r"\*/|-->|#")
 BLOCK_TYPE = "array<struct<start:int,end:int,license:string,saved:double,n_different:int,differences:array<string>>>"
 
 
@@ -147,14 +172,42 @@ def words_of(text: str) -> list[str]:
     return [w for w in (x.strip("\"'`()[]{}<>.,;:!*#/|-") for x in text.lower().split()) if w]
 
 
+class Template(NamedTuple):
+    license: str
+    words: list[str]
+    compressor: zstandard.ZstdCompressor
+    joined: bool = False
+
+
+def _template(name: str, text: str, joined: bool = False) -> Template:
+    words = words_of(text)
+    raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return Template(name, words, _compressor(raw), joined)
+
+
 @cache
-def _prepared() -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
-    out = []
-    for name, texts in TEMPLATES.items():
-        for text in texts:
-            words = words_of(text)
-            raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            out.append((name, words, _compressor(raw)))
+def _prepared() -> list[Template]:
+    """Notices first, then grants of a license by its name, alone and after another."""
+    out = [_template(name, text) for name, texts in TEMPLATES.items() for text in texts]
+    for name, titles in TITLES.items():
+        out += [_template(name, f"{start} {title}") for title in titles for start in GRANTS]
+        out += [_template(name, f"{start} {title}", joined=True) for title in titles for start in JOINS]
+    return out
+
+
+@cache
+def _identifiers() -> list[Template]:
+    names = [name for name in TEMPLATES if name != "all-rights-reserved"]
+    return [_template(name, f"SPDX-License-Identifier: {name}{suffix}") for name in names for suffix in SUFFIXES]
+
+
+@cache
+def _windows() -> dict[tuple[str, ...], set[int]]:
+    """The templates that have each WINDOW words in a row."""
+    out: dict[tuple[str, ...], set[int]] = {}
+    for place, template in enumerate(_prepared()):
+        for i in range(len(template.words) - WINDOW + 1):
+            out.setdefault(tuple(template.words[i : i + WINDOW]), set()).add(place)
     return out
 
 
@@ -166,16 +219,23 @@ def _compressor(raw: zstandard.ZstdCompressionDict | None = None) -> zstandard.Z
     return zstandard.ZstdCompressor(compression_params=options, dict_data=raw)
 
 
-def differences(part: list[str], whole: list[str]) -> list[tuple[str, str]]:
-    """What differs between `part` and the stretch of `whole` that it covers: words of either."""
+def _aligned(part: list[str], whole: list[str]) -> tuple[list[tuple[str, str]], int, int]:
+    """What differs between `part` and the stretch of `whole` that it covers, and that stretch."""
     steps = SequenceMatcher(None, whole, part, autojunk=False).get_opcodes()
-    out = []
+    out, low, high = [], len(whole), 0
     for place, (kind, a, b, c, d) in enumerate(steps):
         outer = place in (0, len(steps) - 1)
-        if kind == "equal" or (kind == "delete" and outer):
+        if kind == "delete" and outer:
             continue
-        out.append((" ".join(part[c:d]), " ".join(whole[a:b])))
-    return out
+        low, high = min(low, a), max(high, b)
+        if kind != "equal":
+            out.append((" ".join(part[c:d]), " ".join(whole[a:b])))
+    return out, low, high
+
+
+def differences(part: list[str], whole: list[str]) -> list[tuple[str, str]]:
+    """What differs between `part` and the stretch of `whole` that it covers: words of either."""
+    return _aligned(part, whole)[0]
 
 
 def _weigh(found: list[tuple[str, str]]) -> int:
@@ -201,52 +261,138 @@ def _same(part: list[str], found: list[tuple[str, str]]) -> bool:
     return len(part) >= LEAST_WORDS and _weigh(found) <= MOST_DIFFERENT * len(part) and not _told_apart(found)
 
 
+class Hit(NamedTuple):
+    """The licenses that fit one stretch of a sentence equally well; none if it is unrecognised."""
+
+    names: tuple[str, ...]
+    saved: float
+    n_different: int
+    differences: tuple[str, ...]
+
+
+def _ranked(data: bytes, templates: list[Template]) -> list[tuple[float, int]]:
+    """Share of bytes that each template saves, most first, and the template's place."""
+    plain = len(_alone().compress(data))
+    order = sorted((len(t.compressor.compress(data)) / plain - 1, place) for place, t in enumerate(templates))
+    return [(-less, place) for less, place in order]
+
+
 @lru_cache(maxsize=10_000)
-def _rank(block: tuple[str, ...]) -> tuple[tuple[str, ...], float, int, tuple[str, ...]]:
-    """The confirmed licenses of a sentence that fit equally well, share saved, differences.
+def _rank(block: tuple[str, ...]) -> tuple[Hit, ...]:
+    """The confirmed licenses of a sentence, each stretch of it counted for the best that fits.
 
-    The sentence may be a part of the license text, or have the whole text in it. Words with a
-    digit, such as versions, and those of TELLING must not differ.
+    The templates that save most and those with a window of words in common are confirmed: the
+    sentence may be a part of the license text, or have the whole text in it. Words with a
+    digit, such as versions, and those of TELLING must not differ. If none is confirmed, there
+    is one hit without names that has the differences from the nearest template.
     """
-    data = " ".join(block).encode()
-    plain = len(_alone().compress(data))
-    ranked = sorted(
-        ((1 - len(c.compress(data)) / plain, -place) for place, (_, _, c) in enumerate(_prepared())), reverse=True
-    )
-    choices = []
+    ranked = _ranked(" ".join(block).encode(), _prepared())
+    shared = set().union(*(_windows().get(block[i : i + WINDOW], ()) for i in range(len(block) - WINDOW + 1)))
+    confirmed, nearest = [], None
     for number, (saved, place) in enumerate(ranked):
-        if number >= RANKED and saved < ranked[0][0] - NEAR:
-            break
-        name, words, _ = _prepared()[-place]
+        if number >= RANKED and saved < ranked[0][0] - NEAR and place not in shared:
+            continue
+        name, words, _, joined = _prepared()[place]
         for turned in (False, True):
+            if joined and not turned:
+                continue
             part, whole = (words, list(block)) if turned else (list(block), words)
-            found = differences(part, whole)
+            found, low, high = _aligned(part, whole)
             said = tuple(f"{a} -> {b}" if turned else f"{b} -> {a}" for a, b in found)
-            choices.append((not _same(part, found), _weigh(found), -saved, name, said))
-    other, size, saved, _, said = min(choices)
-    names = () if other else tuple(sorted({c[3] for c in choices if c[:2] == (other, size)}))
-    return names, -saved, size, said
+            low, high = (low, high) if turned else (0, len(block))
+            size = _weigh(found)
+            if _same(part, found):
+                confirmed.append((joined, size, low - high, -saved, name, low, high, said))
+            elif not joined:
+                nearest = min(nearest or (size, -saved, said), (size, -saved, said))
+    taken: list[tuple] = []  # stretch, rank, names, saved, size, differences
+    for joined, size, less, saved, name, low, high, said in sorted(confirmed):
+        over = [t for t in taken if low < t[1] and t[0] < high]
+        if not over and (taken or not joined):
+            taken.append((low, high, (joined, size, less), {name}, -saved, size, said))
+        elif over and over[0][2] == (joined, size, less):
+            over[0][3].add(name)
+    if not taken:
+        size, saved, said = nearest or (len(block), -ranked[0][0], ())
+        return (Hit((), -saved, size, said),)
+    return tuple(Hit(tuple(sorted(names)), saved, size, said) for _, _, _, names, saved, size, said in sorted(taken, key=lambda t: t[0]))
 
 
 @lru_cache(maxsize=1000)
-def _decided(names: tuple[str, ...], around: tuple[str, ...]) -> str:
-    """The one of `names` with a whole text in the words around a sentence, or `unrecognised`."""
-    fit = set()
-    for name, words, _ in _prepared():
-        if name in names and _same(words, differences(words, list(around))):
-            fit.add(name)
-    return fit.pop() if len(fit) == 1 else "unrecognised"
+def _identifier(words: tuple[str, ...]) -> tuple[str, float]:
+    """The license of an SPDX line, ranked as sentences are and confirmed if no word differs, and the share saved.
 
+    Expressions of several licenses and unknown ones are not recognised.
+    """
+    ranked = _ranked(" ".join(words).encode(), _identifiers())
+    for number, (saved, place) in enumerate(ranked):
+        if number >= RANKED and saved < ranked[0][0] - NEAR:
+            break
+        if _identifiers()[place].words == list(words):
+            return _identifiers()[place].license, saved
+    return "unrecognised", ranked[0][0]
 
-def _identifier(text: bytes) -> str:
-    """The license of an SPDX line; expressions of several and unknown ones are not recognised."""
-    said = re.split(rb"\*/|-->|#", text)[0].decode("utf-8", "replace").strip().lower()
-    known = {name.lower(): name for name in TEMPLATES if name != "all-rights-reserved"}
-    return known.get(re.sub(r"-(only|or-later)$|\+$", "", said), "unrecognised")
+
+@lru_cache(maxsize=10_000)
+def _covered(name: str, words: tuple[str, ...]) -> frozenset[int]:
+    """The words of the license's longest text that a sentence covers in stretches of WINDOW or more, by position."""
+    found = SequenceMatcher(None, _notice(name), words, autojunk=False).get_matching_blocks()
+    return frozenset(i for m in found if m.size >= WINDOW for i in range(m.a, m.a + m.size))
+
+
+@cache
+def _notice(name: str) -> list[str]:
+    return max((t.words for t in _prepared() if t.license == name), key=len)
+
+
+def _is_whole(name: str, covered: set[int]) -> bool:
+    """Whether so much of the license's text is there that it counts as the same."""
+    left = [w for i, w in enumerate(_notice(name)) if i not in covered]
+    return len(left) <= MOST_DIFFERENT * len(_notice(name)) and not _told_apart([(" ".join(left), "")])
+
+
+def _decide(sentences: list[tuple[tuple[str, ...], Hit]]) -> list[str]:
+    """The license of each sentence of a text, in order, or `unrecognised`.
+
+    Where several licenses have the same sentence, the other sentences of its notice decide,
+    however far apart they stand: a license is out if a sentence of the notice fits only others
+    of them, and its own text must be there as a whole. A notice ends where a clause comes that
+    it already has.
+    """
+    out = [hit.names[0] if len(hit.names) == 1 else "unrecognised" for _, hit in sentences]
+    for family in {hit.names for _, hit in sentences if len(hit.names) > 1}:
+        members: list[tuple[int, frozenset[str]]] = []  # of the notice: place, licenses that fit
+        covered: dict[str, set[int]] = {name: set() for name in family}
+
+        def close(members=members, covered=covered, family=family) -> None:
+            left = set(family).intersection(*(fit for _, fit in members))
+            whole = [name for name in left if _is_whole(name, covered[name])]
+            for place, _ in members:
+                if sentences[place][1].names == family and len(whole) == 1:
+                    out[place] = whole[0]
+            members.clear()
+            for positions in covered.values():
+                positions.clear()
+
+        for place, (words, hit) in enumerate(sentences):
+            fit = frozenset(hit.names).intersection(family)
+            if not hit.names and members:  # a clause that runs into other words is there as well
+                for name in family:
+                    covered[name] |= _covered(name, words)
+            if not fit:
+                continue
+            new = {name: _covered(name, words) for name in fit}
+            if any(2 * len(new[name] & covered[name]) > len(new[name]) for name in fit):
+                close()
+            members.append((place, fit))
+            for name in fit:
+                covered[name] |= new[name]
+        close()
+    return out
 
 
 def scan_text(text: bytes | None) -> list[dict]:
-    """The candidate sentences of a whole text, with offsets in bytes."""
+    """The candidate sentences of a whole text, with offsets in bytes; one entry for each license of a sentence."""
     lower = (text or b"").lower()
     places = set()
     for stem in STEMS:
@@ -254,15 +400,16 @@ def scan_text(text: bytes | None) -> list[dict]:
         while at >= 0:
             places.add(at)
             at = lower.find(stem, at + 1)
-    out, end, ends = [], -1, None
+    out, sentences, end, ends = [], [], -1, None
     for at in sorted(places):
         if at < end:
             continue
         if line := SPDX.match(text, at):
             start, end = line.span()
-            words = words_of(line[0].decode("utf-8", "replace"))
-            saved = _rank(tuple(words[:PIECE]))[1]
-            out.append({"start": start, "end": end, "license": _identifier(line[1]), "saved": saved, "n_different": 0, "differences": []})
+            said = COMMENT_END.split(line[0].decode("utf-8", "replace"))[0]
+            name, saved = _identifier(tuple(words_of(said)))
+            out.append({"start": start, "end": end, "license": name, "saved": saved, "n_different": 0, "differences": []})
+            sentences.append(((), Hit((name,), saved, 0, ())))
             continue
         if ends is None:  # found once, whatever the number of candidates
             ends = [0, *(m.end() for m in END.finditer(text)), len(text)]
@@ -274,22 +421,32 @@ def scan_text(text: bytes | None) -> list[dict]:
             if end <= at:
                 continue
         words = words_of(BULLET.sub("", text[start:end].decode("utf-8", "replace")))
-        pieces = [tuple(words[i : i + PIECE]) for i in range(0, max(1, len(words) - PIECE // 2), PIECE // 2)]
-        if words:
-            names, saved, size, found = min(map(_rank, pieces), key=lambda r: (not r[0], r[2], -r[1]))
-            name = names[0] if len(names) == 1 else "unrecognised"
-            if len(names) > 1:
-                around = text[max(0, start - AROUND) : end + AROUND].decode("utf-8", "replace")
-                name = _decided(names, tuple(words_of(BULLET.sub(" ", around))))
-            out.append({"start": start, "end": end, "license": name, "saved": saved, "n_different": size, "differences": list(found)})
+        for piece, hit in _hits(words):
+            out.append({"start": start, "end": end, "license": "", "saved": hit.saved, "n_different": hit.n_different, "differences": list(hit.differences)})
+            sentences.append((piece, hit))
+    for block, name in zip(out, _decide(sentences), strict=True):
+        block["license"] = name
     return out
 
 
+def _hits(words: list[str]) -> list[tuple[tuple[str, ...], Hit]]:
+    """The hits of a sentence; of overlapping pieces of a long one, each set of licenses once, by its best piece."""
+    pieces = [tuple(words[i : i + PIECE]) for i in range(0, max(1, len(words) - PIECE // 2), PIECE // 2)] if words else []
+    best: dict[tuple[str, ...], tuple[tuple[str, ...], Hit]] = {}
+    for piece in pieces:
+        for hit in _rank(piece):
+            old = best.get(hit.names)
+            if old is None or (hit.n_different, -hit.saved) < (old[1].n_different, -old[1].saved):
+                best[hit.names] = piece, hit
+    named = [x for names, x in best.items() if names]
+    return named or list(best.values())
+
+
 def scan(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> DataFrame:
     """All columns of `docs` and an array of the candidate sentences found in each whole text.
 
-    Each has its byte offsets, the license or `unrecognised`, the share of bytes that the best
-    template saves, and the differing words. Null and empty texts have none; repeated rows give
+    Each has its byte offsets, the license or `unrecognised`, the share of bytes that the
+    template saves, and the differing words; a sentence with several licenses has an entry for each. Null and empty texts have none; repeated rows give
     repeated rows; an empty table gives an empty result. `name` must be free in `docs`.
     """
     kind = T._parse_datatype_string(BLOCK_TYPE)

@@ -72,3 +72,40 @@ def test_clause_counts():
 def test_spdx_lines():
     for line, name in (("MIT", "MIT"), ("GPL-3.0-or-later", "GPL-3.0"), ("BSD-2-Clause", "BSD-2-Clause"), ("MIT OR Apache-2.0", "unrecognised")):
         assert names(f"// SPDX-License-Identifier: {line}\nint main;") == [name]
+
+
+def test_every_license_of_a_sentence():
+    assert names("Licensed under the MIT License and licensed under the Apache License, Version 2.0.") == ["MIT", "Apache-2.0"]
+    assert names("It is dual licensed under the MIT License or the Apache License, Version 2.0, at your option.") == ["MIT", "Apache-2.0"]
+    assert names("This is released under the terms of the MIT License, see the LICENSE file.") == ["MIT"]
+    # a name after "or" or "and" grants nothing alone
+    assert names("We compared a license of our own and the MIT License.") == ["unrecognised"]
+    assert names("Available under the GNU General Public License, version 4.") == ["unrecognised"]
+
+
+def test_clauses_far_apart_and_two_notices():
+    two, three = (L.TEMPLATES[n][1] for n in ("BSD-2-Clause", "BSD-3-Clause"))
+    between = " The water rose and the boats went out to sea again." * 200
+    spread = three.replace("distribution. N", f"distribution.{between} N").replace("permission. T", f"permission.{between} T")
+    assert len(spread) > 20_000 and set(names(spread + ".")) == {"BSD-3-Clause"}
+    spread = two.replace("disclaimer. R", f"disclaimer.{between} R")
+    assert set(names(spread + ".")) == {"BSD-2-Clause"}
+    found = names(f"{two}.{between} {three}.")
+    assert found == ["BSD-2-Clause"] * 3 + ["BSD-3-Clause"] * 4
+
+
+def test_long_lines_and_sentences_are_read_whole():
+    filler = "stone " * 900
+    assert names(f"{filler}Licensed under the MIT License {filler}licensed under the Apache License, Version 2.0 {filler}.") == ["MIT", "Apache-2.0"]
+    assert names("SPDX-License-Identifier: MIT " + "x " * 1000) == ["unrecognised"]
+    assert names("/* SPDX-License-Identifier: Apache-2.0 */ int x;") == ["Apache-2.0"]
+
+
+def test_spdx_lines_are_ranked():
+    block = L.scan_text(b"# SPDX-License-Identifier: LGPL-2.1-or-later\n")[0]
+    assert block["license"] == "LGPL-2.1" and block["saved"] > 0.3
+    assert L.scan_text(b"SPDX-License-Identifier: LGPL-9.1\n")[0]["license"] == "unrecognised"
+
+
+def test_null_and_empty_texts():
+    assert L.scan_text(None) == L.scan_text(b"") == []
