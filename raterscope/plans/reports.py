@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from raterscope.functions import metrics as m
 from raterscope.operators import consensus, dedupe
-from raterscope.operators.skew import attach, join_null_safe, lookup
+from raterscope.operators.skew import attach, lookup
 
 DEFAULT_LABEL = "default_label"
 PIPELINE_ERROR_LABEL = "pipeline_error"
@@ -25,6 +25,7 @@ PROJECT = ["week_ending", "project_id"]
 WORKFLOW = PROJECT + ["workflow"]
 RATER = WORKFLOW + ["rater_id"]
 JOB = WORKFLOW + ["job_id"]
+AUDITOR_ROW = ["auditor_id", "_audits"]
 
 SCORES = ("score", "f1score", "precision", "recall")
 
@@ -69,13 +70,15 @@ def audit_workflow_summary(
     rows: DataFrame, targets: DataFrame, prepared: bool = False
 ) -> DataFrame:
     rows = rows if prepared else audit_rows(rows)
-    per_job = rows.groupBy(*RATER, "job_id").agg(
+    per_job = _beside_auditors(
+        rows,
+        [*RATER, "job_id"],
         F.sum("weight").alias("tot_labels"),
         _flag_sum(F.col("is_correct")).alias("correct_labels"),
         *m.confusion_counts(),
     )
     has_f1 = F.col("tp_count") + F.col("fp_count") + F.col("fn_count") > 0
-    per_rater = per_job.groupBy(*RATER).agg(
+    per_rater = per_job.groupBy(*RATER, *AUDITOR_ROW).agg(
         F.count("*").alias("jobs"),
         F.count("*").alias("audited"),
         F.count_if(has_f1).alias("audited_f1"),
@@ -87,7 +90,7 @@ def audit_workflow_summary(
             **dict(zip(_names("rater")[1:], m.confusion_scores("rater"))),
         }
     )
-    return _workflow_report(scored, targets, _auditors(rows))
+    return _workflow_report(scored, targets)
 
 
 def multi_workflow_summary(
@@ -108,8 +111,9 @@ def multi_workflow_summary(
         )
         .withColumn("rater_score", m.ratio(F.col("correct_labels"), F.col("tot_labels")))
         .withColumn("rater_f1score", F.lit(None).cast("double"))
+        .withColumns({"auditor_id": F.lit(None).cast("string"), "_audits": F.lit(0)})
     )
-    return _workflow_report(scored, targets, None)
+    return _workflow_report(scored, targets)
 
 
 def outcome_workflow_summary(
@@ -117,8 +121,9 @@ def outcome_workflow_summary(
 ) -> DataFrame:
     rows = rows if prepared else outcome_rows(rows)
     scored = (
-        rows.groupBy(*RATER)
-        .agg(
+        _beside_auditors(
+            rows,
+            RATER,
             F.count("*").alias("jobs"),
             F.count("*").alias("audited"),
             F.lit(0).cast("bigint").alias("audited_f1"),
@@ -128,21 +133,32 @@ def outcome_workflow_summary(
         .withColumn("rater_score", m.ratio(F.col("correct_labels"), F.col("tot_labels")))
         .withColumn("rater_f1score", F.lit(0.0))
     )
-    return _workflow_report(scored, targets, _auditors(rows))
+    return _workflow_report(scored, targets)
 
 
 def audit_auditor_count(rows: DataFrame, prepared: bool = False) -> DataFrame:
-    return _auditors(rows if prepared else audit_rows(rows))
+    rows = rows if prepared else audit_rows(rows)
+    return rows.groupBy(*WORKFLOW).agg(F.count_distinct("auditor_id").alias("auditor_count"))
 
 
-def _auditors(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*WORKFLOW).agg(F.count_distinct("auditor_id").alias("auditor_count"))
+def _beside_auditors(rows: DataFrame, keys: Sequence[str], *sums: Column) -> DataFrame:
+    """`sums` by `keys` (RATER and more), and one row for each auditor of a workflow, `_audits` 1.
+
+    Both sets leave one aggregation, which counts distinct auditors exactly without preparing
+    the rows a second time and without a join; an auditor's rows are merged before the shuffle.
+    """
+    sets = [list(keys), [*WORKFLOW, "auditor_id"]]
+    return rows.groupingSets(sets, *keys, "auditor_id").agg(F.grouping("rater_id").alias("_audits"), *sums)
 
 
-def _workflow_report(
-    scored: DataFrame, targets: DataFrame, auditors: DataFrame | None
-) -> DataFrame:
-    """Rater rows to workflow rows; the project score is the plain mean of workflows."""
+def _workflow_report(scored: DataFrame, targets: DataFrame) -> DataFrame:
+    """Rater rows to workflow rows; the project score is the plain mean of workflows.
+
+    Rows with `_audits` 1 stand for an auditor and count nowhere else.
+    """
+    of_rater = F.col("_audits") == 0
+    measures = [c for c in scored.columns if c not in (*RATER, *AUDITOR_ROW)]
+    scored = scored.withColumns({c: F.when(of_rater, F.col(c)) for c in measures})
     with_target = attach(scored, targets, ["project_id"])
     target = F.col("target")
     workflow_scores = [m.ratio(F.sum("correct_labels"), F.sum("tot_labels")).alias("workflow_score")]
@@ -153,7 +169,8 @@ def _workflow_report(
     else:
         workflow_scores += m.zero_scores("workflow")
     per_workflow = with_target.groupBy(*WORKFLOW).agg(
-        F.count("*").alias("rater_count"),
+        F.count_if(of_rater).alias("rater_count"),
+        F.count_if(~of_rater & F.col("auditor_id").isNotNull()).alias("auditor_count"),
         F.sum("jobs").alias("job_instances"),
         F.sum("audited").alias("audited_instances"),
         F.sum("audited_f1").alias("audited_instances_f1"),
@@ -162,10 +179,6 @@ def _workflow_report(
         F.sum(m.above_target(F.col("rater_f1score"), target)).alias("raters_above_target_f1"),
         *workflow_scores,
     )
-    if auditors is None:
-        per_workflow = per_workflow.withColumn("auditor_count", F.lit(0).cast("bigint"))
-    else:
-        per_workflow = join_null_safe(per_workflow, auditors, WORKFLOW)
     project = Window.partitionBy(*PROJECT)
     means = {f"project_{s}": F.avg(f"workflow_{s}").over(project) for s in SCORES}
     return per_workflow.withColumns(means).select(

@@ -117,3 +117,38 @@ def test_align_slices_a_large_file(spark):
     assert plain.count() == 600 * 4
     columns = ["source_file", "id", "parent_label", "rater_response"]
     assert rows_of(plain.select(columns)) == rows_of(sliced.select(columns))
+
+
+def test_auditors_are_counted_in_the_aggregation_of_the_raters(spark, sf):
+    from checks.audit import audit_long, targets
+
+    from raterscope.plans import reports
+
+    rows = audit_long(spark, sf)
+    df = reports.audit_workflow_summary(rows, targets(spark, sf))
+    before, after = (x._jdf.queryExecution().optimizedPlan().toString() for x in (rows, df))
+    more = {node: after.count(f"{node} ") - before.count(f"{node} ") for node in ("WindowGroupLimit", "Join", "Expand")}
+    # the dedupe of the label rows is planned once, and nothing is joined but the targets
+    assert more == {"WindowGroupLimit": 1, "Join": 1, "Expand": 1}
+
+
+def test_auditor_counts_with_nulls_and_shared_auditors(spark):
+    from raterscope.plans import reports
+
+    def row(workflow, rater, job, auditor, correct):
+        return (None if workflow is None else str(workflow), "w", "p", rater, job, auditor, correct)
+
+    rows = spark.createDataFrame(
+        [
+            row(1, "a", "j1", "x", True), row(1, "a", "j2", "y", False), row(1, "b", "j1", "x", True),
+            row(1, "b", "j3", None, True), row(1, None, "j4", "z", False), row(None, "a", "j5", None, True),
+        ],
+        "workflow string, week_ending string, project_id string, rater_id string, job_id string, auditor_id string, job_correct boolean",
+    )
+    targets = spark.createDataFrame([("p", 0.9)], "project_id string, target double")
+    got = {r.workflow: r for r in reports.outcome_workflow_summary(rows, targets, prepared=True).collect()}
+    one, none = got["1"], got[None]
+    assert (one.rater_count, one.auditor_count, one.job_instances, one.raters_above_target) == (3, 3, 5, 1)
+    assert (none.rater_count, none.auditor_count, none.job_instances, none.raters_above_target) == (1, 0, 1, 1)
+    assert one.workflow_score == 0.6 and one.target_goal == 0.9
+    assert reports.outcome_workflow_summary(rows.limit(0), targets, prepared=True).count() == 0
