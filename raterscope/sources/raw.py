@@ -12,6 +12,10 @@ from raterscope.sources.files import header_names
 from raterscope.sources.lake import SUSPICIOUS_HEADER, string_schema, with_positions
 
 CORRUPT = "malformed"
+#: A line whose fields are each free of quotes, or quoted as a whole with inner quotes doubled. Loops are
+#: possessive, so long lines cost no stack.
+FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+WHOLE_LINE = rf"^{FIELD}(?:,{FIELD})*+\z"
 
 
 def readable(path: str) -> str:
@@ -20,22 +24,31 @@ def readable(path: str) -> str:
 
 
 def file_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`path`, `header_line`, `header`, `data_rows`, `is_utf8`, `permissive`, in one pass.
+    """`path`, `header_line`, `header`, `data_rows`, `is_utf8`, `permissive`, `line_rows`, in one pass.
 
     Lines come as the bytes they are, so text that is not UTF-8 shows and its header is read
-    as Latin-1. Blank lines are no data rows.
+    as Latin-1. Blank lines are no data rows. Lines end at a line feed; carriage returns
+    elsewhere than before it end lines as well. `line_rows` tells that every line is a row of its
+    own: all are well formed (`WHOLE_LINE`), so no quotes hold a line break, none is of white
+    space only and none has a carriage return inside.
     """
-    lines = spark.read.text([readable(p) for p in paths]).select(
+    lines = spark.read.option("lineSep", "\n").text([readable(p) for p in paths]).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_pos"),
     )
     first = F.when(F.col("block_start") == 0, F.col("line_pos"))
+    # byte by byte: quotes, commas and blanks are the same bytes in both encodings
+    bytewise = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    pieces = F.split(bytewise, "\r")
+    line = F.regexp_replace(bytewise, r"\r\z", "")
+    plain = ~line.contains("\r") & ((line == "") | line.rlike(r"[^\x00-\x20]")) & line.rlike(WHOLE_LINE)
     facts = lines.groupBy("path").agg(
-        F.min_by(F.col("value").cast("binary"), first).alias("_first"),
-        (F.count_if(F.trim("value") != "") - 1).alias("data_rows"),
+        F.min_by(F.encode(pieces[0], "ISO-8859-1"), first).alias("_first"),
+        (F.sum(F.size(F.filter(pieces, lambda x: F.trim(x) != ""))) - 1).alias("data_rows"),
         F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.bool_and(plain).alias("_plain"),
     )
     line = F.when(F.col("is_utf8"), F.decode("_first", "UTF-8")).otherwise(F.decode("_first", "ISO-8859-1"))
     return facts.withColumn("header_line", line).select(
@@ -45,6 +58,7 @@ def file_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         "data_rows",
         "is_utf8",
         F.col("header_line").rlike(SUSPICIOUS_HEADER).alias("permissive"),
+        (F.col("_plain") & ~F.col("header_line").rlike(SUSPICIOUS_HEADER)).alias("line_rows"),
     )
 
 
@@ -53,13 +67,14 @@ def read_by_header(
 ) -> DataFrame:
     """Rows of all files of `facts` with `columns` as strings, blanks as '', and their position.
 
-    Files with the same header, encoding and parse are one scan, and its columns are taken by
+    Files with the same header, encoding and parse are one scan, which many tasks share out within
+    each file whose lines are rows (`line_rows`); others are read by one task a file. Columns are taken by
     name: order and further columns do not matter, an absent optional column is blank. A file
     that lacks another column is an error. Rows that do not fit their header keep their text in
     `malformed`; all others have a null there. The driver sees paths and headers only.
     """
     spark = facts.sparkSession
-    groups = facts.groupBy("header", "is_utf8", "permissive").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    groups = facts.groupBy("header", "is_utf8", "permissive", F.coalesce("line_rows", F.lit(False)).alias("line_rows")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
     scans = [_scan(spark, g, columns, optional) for g in groups.collect()]
     if not scans:
         names = [*columns, CORRUPT, "source_file"]
@@ -79,7 +94,7 @@ def _scan(spark: SparkSession, group, columns: Sequence[str], optional: Sequence
     reader = (
         spark.read.schema(string_schema([*places, CORRUPT]))
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", not group.line_rows)
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .option("mode", "PERMISSIVE")
@@ -92,7 +107,9 @@ def _scan(spark: SparkSession, group, columns: Sequence[str], optional: Sequence
         F.coalesce(F.col(f"c{group.header.index(c)}"), F.lit("")).alias(c) if c in group.header else F.lit("").alias(c)
         for c in columns
     ]
-    return rows.select(*taken, CORRUPT, "source_file", "block_start", "row_pos")
+    # a row read among others keeps the line break after it
+    marked = F.regexp_replace(CORRUPT, r"[\r\n]+$", "").alias(CORRUPT)
+    return rows.select(*taken, marked, "source_file", "block_start", "row_pos")
 
 
 def well_formed(rows: DataFrame) -> DataFrame:

@@ -62,6 +62,45 @@ def test_files_are_read_by_their_own_header(spark, raw):
     assert raw_files.read_by_header(facts.limit(0), ["job_id"]).count() == 0
 
 
+def test_files_whose_lines_are_rows_are_read_by_many_tasks(spark, raw):
+    root, add = raw
+    folder = root / "raw" / "p1_Pine wood" / "WE 2025.08.01"
+    rows = [f'{i},"q ""{i}"", x",caf\u00e8' for i in range(5000)]
+    bodies = {
+        "plain.csv": "\n".join(rows) + "\n",
+        "crlf.csv": "\r\n".join(rows) + "\r\n\r\n",
+        "short.csv": "\n".join([*rows, "7", ""]),
+        "quoted.csv": "\n".join([*rows, '1,"line', 'break",x']),
+        "stray.csv": "\n".join([*rows, '1,5" pipe,"two', 'lines" x,3']),
+        "return.csv": "\n".join([*rows, "1,a\rb,c"]),
+        "blank.csv": "\n".join([*rows, " \t ", "1,2,3"]),
+        "long.csv": "1," + "x" * 300_000 + ',"' + 'y""' * 100_000 + '"\n',
+    }
+    for name, body in bodies.items():
+        add("2025.08.01", name, ("a,b,c\r\n" if name == "crlf.csv" else "a,b,c\n") + body)
+    facts = facts_of(spark, *(folder / name for name in bodies))
+    found = {r.path.rsplit("/", 1)[1]: (r.line_rows, r.data_rows, tuple(r.header)) for r in facts.collect()}
+    assert {name for name, f in found.items() if f[0]} == {"plain.csv", "crlf.csv", "short.csv", "long.csv"}
+    assert {name: f[1] for name, f in found.items()} == {
+        "plain.csv": 5000, "crlf.csv": 5000, "short.csv": 5001, "quoted.csv": 5002, "stray.csv": 5002,
+        "return.csv": 5002, "blank.csv": 5002, "long.csv": 1,
+    }
+    assert {f[2] for f in found.values()} == {("a", "b", "c")}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        one = raw_files.read_by_header(facts.where("path like '%/plain.csv'"), ["a", "b", "c"])
+        assert one.rdd.getNumPartitions() > 1
+        for name in bodies:
+            own = facts.where(F.col("path").endswith("/" + name))
+            whole = raw_files.read_by_header(own.withColumn("line_rows", F.lit(False)), ["a", "b", "c"])
+            parts = raw_files.read_by_header(own, ["a", "b", "c"])
+            order = [tuple(r)[:5] for r in parts.orderBy("block_start", "row_pos").collect()]
+            assert order == [tuple(r)[:5] for r in whole.orderBy("row_pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_manifest(spark, raw):
     root, add = raw
     add("2025.07.11", "x.xlsx", "binary")
