@@ -268,7 +268,36 @@ def fill_in_middle(
     )
 
 
-@register()
+SQL = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || cast(doc_id as varchar)) as digest,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as units
+  from documents
+), h as (
+  select *, len(units) as n, cast('0x' || digest[1:8] as bigint) as h1, cast('0x' || digest[9:16] as bigint) as h2,
+    cast('0x' || digest[17:24] as bigint) as h3, cast('0x' || digest[25:32] as bigint) as h4
+  from t
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50
+      then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from h
+), p as (
+  select *, array_to_string(units[1:low], '') as prefix, array_to_string(units[low + 1:high], '') as middle,
+    array_to_string(units[high + 1:n], '') as suffix
+  from c
+)
+select doc_id, n, form,
+  case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from p
+"""
+
+
+@register(SQL)
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     digest = lambda c: F.sha2(c.cast("binary"), 256)

@@ -165,7 +165,45 @@ def ablations(rows: DataFrame, policies: list[Policy] = POLICIES) -> DataFrame:
     )
 
 
-@register()
+#: The measurements by lists and unnested windows; the rules' conditions are the same text in both.
+SQL = r"""
+with d as (
+  select row_number() over () as doc, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+), windows as (
+  select doc, place, array_to_string(words[place:place + %(last)d], ' ') as phrase
+  from (select doc, words, unnest(range(1, len(words) - %(last)d + 1)) as place from d) s
+), often as (
+  select doc, place from (select *, count(*) over (partition by doc, phrase) as n from windows) s where n > 1
+), covered as (
+  select doc, count(distinct place + step) as n from often, range(%(window)d) r(step) group by doc
+), m as (
+  select doc_id, len(words) as n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(covered.n, 0) as n_repeat_words,
+    len(lines) as n_lines,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper,
+    length(regexp_replace(text, '[^a-z]', '', 'g')) as n_lower,
+    coalesce(list_max(map_values(list_aggregate(words, 'histogram'))), 0) as n_top_word
+  from d left join covered on d.doc = covered.doc
+), bits as (
+  select *, cast(%(bits)s as bigint) as fail_bits from m
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed, fail_bits = 0 as kept, fail_bits
+from bits
+""" % {
+    "last": WINDOW - 1,
+    "window": WINDOW,
+    "bits": " + ".join(f"case when {test} then {BITS[name]} else 0 end" for name, test in RULES.items()),
+}
+
+
+@register(SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(table(spark, sf_dir, "documents")), STRICT)
     return rows.select(

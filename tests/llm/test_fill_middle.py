@@ -5,8 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import compare, connect
 from raterscope.llm import fill_middle as M
-from raterscope.llm.queries import QUERIES
+from raterscope.llm.queries import ORACLE, QUERIES
 from tests.llm.cases import TEXTS, documents, empty, own_values
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -110,3 +111,7 @@ def test_query_equals_plain_version(spark, sf):
         wanted.append((r.doc_id, *made[:4], sha(made[4]), sha(r.text or "")))
     assert sorted(map(tuple, QUERIES["op12_fill_middle"](spark, sf).collect())) == sorted(wanted)
     assert len({w[2] for w in wanted}) == 3
+
+
+def test_query_equals_sql(spark, sf):
+    assert compare(QUERIES["op12_fill_middle"](spark, sf), connect(sf), ORACLE["op12_fill_middle"]) == []

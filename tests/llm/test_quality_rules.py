@@ -1,6 +1,8 @@
 from collections import Counter
 
+from checks.compare import compare, connect
 from raterscope.llm import quality_rules as Q
+from raterscope.llm.queries import ORACLE, QUERIES
 from tests.llm.cases import documents, empty
 
 
@@ -49,3 +51,7 @@ def test_policies_and_ablations(spark):
 def test_empty_table(spark):
     assert Q.apply_policy(Q.ledger(empty(spark)), Q.STRICT).count() == 0
     assert Q.ablations(Q.ledger(empty(spark))).count() == 0
+
+
+def test_query_equals_sql(spark, sf):
+    assert compare(QUERIES["op10_quality_rules"](spark, sf), connect(sf), ORACLE["op10_quality_rules"]) == []
