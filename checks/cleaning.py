@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks import fixtures as fx
 from raterscope.functions import clean
+from raterscope.plans import layouts
 from raterscope.plans import layouts_labels as ll
 
 # --- replacements and column roles -----------------------------------------------------
@@ -320,3 +321,36 @@ def generic_outcome(spark, sf):
     return ll.normalize_by_config(_sheet(spark, sf), config)
 
 
+@check(f"""{_SHEET}
+select {_BASE}, answer = 'A' as job_correct, FRI(job_date) as content_week from (select * replace (FRI(job_date) as job_date) from s) t
+where bad <> 0 and answer in ('A', 'N')""")
+def generic_without_dates(spark, sf):
+    """A configured layout without a date column is dated by the week that its rows were delivered for."""
+    info = {k: v for k, v in AUDIT_CONFIG["info_columns"].items() if k != "job_date_column"}
+    config = {"quality_methodology": "outcome", "info_columns": info, "outcome_column": "Answer", "positive_outcome": "a"}
+    rows = _sheet(spark, sf).where("Answer in ('A', 'N')")
+    rows = rows.withColumn("reporting_week", clean.content_week(F.col("When").cast("date")))
+    long = layouts.normalize(rows, {"module": "GENERIC", "module_config": config})
+    return long.select(*_BASE.split(", "), "job_correct", "content_week")
+
+
+@check("""select source_file, reject_reason, count(*) as row_count from (select cast(l_linenumber as varchar) as source_file,
+  case when l_quantity < 3 then 'invalid_date' when l_partkey % 50 = 0 then 'invalid_id' else 'accepted' end as reject_reason from lineitem) s
+group by 1, 2""")
+def rejects_configured(spark, sf):
+    rows = fx.query(spark, sf, WIDE_SHEET.replace(
+        "cast(cast(l_shipdate as date) as string)", "case when l_quantity < 3 then 'some day' else cast(cast(l_shipdate as date) as string) end"
+    ))
+    rows = rows.withColumn("source_file", F.col("l_linenumber").cast("string"))
+    return clean.reject_stats(ll.tag_by_config(rows, AUDIT_CONFIG), ["source_file"])
+
+
+@check("""select _country as workflow, reject_reason, count(*) as row_count from (select concat('C', cast(l_suppkey % 3 as varchar)) as _country,
+  case when l_discount > 0.09 then 'invalid_date' when l_linenumber = 7 then 'not_reviewed'
+    when l_partkey % 20 = 0 then 'invalid_id' else 'accepted' end as reject_reason from lineitem) s
+group by 1, 2""")
+def rejects_relevance(spark, sf):
+    rows = fx.query(spark, sf, RELEVANCE.replace(
+        "cast(cast(l_shipdate as date) as string)", "case when l_discount > 0.09 then '' else cast(cast(l_shipdate as date) as string) end"
+    ).replace("cast(30000000000 + l_orderkey as string)", "case when l_partkey % 20 = 0 then 'job' else cast(30000000000 + l_orderkey as string) end"))
+    return clean.reject_stats(ll.tag_adhoc_relevance(rows), ["workflow"])

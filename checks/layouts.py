@@ -232,3 +232,9 @@ def rejects_auditor_keyed(spark, sf):
 def rejects_outcome_json(spark, sf):
     config = {"organization_token": "Vendor", "drop_self_audits": True}
     return clean.reject_stats(lo.outcome_rejects(fx.query(spark, sf, with_factors(JSON)), config, "json"))
+
+
+@check("""select case when o_orderkey % 31 = 0 then 'invalid_id' when o_orderstatus not in ('F', 'O') then 'not_audited' else 'accepted' end as reject_reason,
+  count(*) as row_count from orders group by 1""")
+def rejects_outcome_wide(spark, sf):
+    return clean.reject_stats(lo.tag_outcome_wide(fx.query(spark, sf, with_factors(WIDE)), {}))
