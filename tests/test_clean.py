@@ -130,3 +130,9 @@ def test_rejects_add_up(spark):
     counts = {r.reject_reason: r.row_count for r in clean.reject_stats(tagged).collect()}
     assert counts == {"missing": 1, "text": 1, "accepted": 1}
     assert sum(counts.values()) == df.count()
+
+
+def test_dates_of_the_common_spelling(spark):
+    texts = ["2024-02-29", " 2024-02-29 ", "2023-02-29", "2024-13-01", "0000-01-01", "9999-12-31", "2024-2-9", "2024-02-29T10:00:00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(clean.lenient_date(F.col("t")).cast("string"))
+    assert [r[0] for r in rows.collect()] == ["2024-02-29", "2024-02-29", None, None, "0000-01-01", "9999-12-31", "2024-02-09", "2024-02-29"]

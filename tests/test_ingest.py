@@ -270,3 +270,31 @@ def test_multi_and_outcome_reports_are_written(spark, sf, tmp_path):
         names = daily.rebuild_reports(spark, rows, code, targets(spark, sf), str(tmp_path))
         assert len(names) == count
         assert all(spark.read.parquet(f"{tmp_path}/{n}").count() > 0 for n in names)
+
+
+def test_coverage_counts_repeated_and_missing_weeks_as_a_join_does(spark):
+    weeks = spark.sql("""select * from values ('a', date'2024-01-05'), ('a', date'2024-01-05'), ('a', date'2024-01-12'),
+        ('a', date'1969-12-31'), ('a', date'2024-01-10'), ('a', null), (null, date'2024-01-05'), ('b', date'2024-01-05') as t(project_id, week_ending)""")
+    found = spark.sql("""select * from values ('a', date'2024-01-05', 2), ('a', date'2024-01-05', 3), ('a', date'1969-12-31', 0), ('a', date'2024-01-10', null),
+        ('a', date'2030-01-04', 9), ('a', null, 9), (null, date'2024-01-05', 9) as t(project_id, week_ending, valid_files_number)""")
+    got = {r.project_id: tuple(r)[1:] for r in files.coverage(weeks, found).collect()}
+    assert got == {"a": (8, 4, 10, date(2024, 1, 5)), None: (1, 0, 0, None), "b": (1, 0, 0, None)}
+
+
+def test_coverage_shuffles_blocks_of_weeks(spark):
+    spans = spark.sql("select concat('p', cast(id as string)) as project_id, date'2000-01-07' as a, date'2019-12-27' as b from range(50)")
+    weeks = files.week_calendar(spans, ["project_id"], "a", "b")
+    plan = files.coverage(weeks, weeks.withColumn("valid_files_number", F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    first = next(i for i, line in enumerate(lines) if "Generate" in line)
+    below = max(i for i, line in enumerate(lines[:first]) if "Exchange" in line)
+    assert any("count" in line for line in lines[below:first])
+
+
+def test_written_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "ROWS_PER_FILE", 10)
+    path = str(tmp_path / "csv")
+    lake.write_csv(spark.range(95).select(F.concat(F.col("id").cast("string"), F.lit("\nx")).alias("a")).coalesce(1), path)
+    rows = lake.read_raw_csv(spark, path, ["a"])
+    assert rows.count() == 95
+    assert rows.groupBy("source_file").count().agg(F.max("count")).first()[0] <= 10
