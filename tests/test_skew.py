@@ -152,3 +152,18 @@ def test_auditor_counts_with_nulls_and_shared_auditors(spark):
     assert (none.rater_count, none.auditor_count, none.job_instances, none.raters_above_target) == (1, 0, 1, 1)
     assert one.workflow_score == 0.6 and one.target_goal == 0.9
     assert reports.outcome_workflow_summary(rows.limit(0), targets, prepared=True).count() == 0
+
+
+def test_bytes_per_task_are_bounded_and_smaller_settings_stay(spark):
+    from raterscope.session import TASK_BYTES, TASK_SETTINGS, bound_tasks
+
+    before = {name: spark.conf.get(name) for name in TASK_SETTINGS}
+    try:
+        spark.conf.set(TASK_SETTINGS[0], "128m")
+        spark.conf.set(TASK_SETTINGS[1], "1m")
+        bound_tasks(spark)
+        assert int(spark.conf.get(TASK_SETTINGS[0])) == TASK_BYTES
+        assert spark.conf.get(TASK_SETTINGS[1]) == "1m"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
