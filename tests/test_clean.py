@@ -136,3 +136,20 @@ def test_dates_of_the_common_spelling(spark):
     texts = ["2024-02-29", " 2024-02-29 ", "2023-02-29", "2024-13-01", "0000-01-01", "9999-12-31", "2024-2-9", "2024-02-29T10:00:00"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(clean.lenient_date(F.col("t")).cast("string"))
     assert [r[0] for r in rows.collect()] == ["2024-02-29", "2024-02-29", None, None, "0000-01-01", "9999-12-31", "2024-02-09", "2024-02-29"]
+
+
+def test_dates_leave_code_that_is_compiled(spark):
+    """The JVM never compiles a method of more than 8000 bytes."""
+    days = spark.range(3).select(F.array(F.lit("2024/03/05")).alias("day")).select(F.explode("day").alias("day"))
+    made = clean.once(days, {"job_date": clean.lenient_date(F.col("day"))})
+    stages = made._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert all(0 <= size < 8000 for size in sizes)
+
+
+def test_year_first_dates_with_other_marks(spark):
+    texts = ["2024/03/05", "2024.03-05", "2024/02/30", "0000/01/01", " 2024/3/5 10:00", "2024/03/05\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    made = clean.once(df, {"d": clean.lenient_date(F.col("t"))}).orderBy("i")
+    got = [r.d for r in made.select(F.col("d").cast("string")).collect()]
+    assert got == ["2024-03-05", "2024-03-05", None, "0000-01-01", "2024-03-05", None]

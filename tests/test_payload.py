@@ -86,3 +86,36 @@ def test_first_value_of_a_key_wins(spark):
 )
 def test_rubric_answers(spark, raw, want):
     assert run(spark, payload.rubric_answers, [raw]) == [want]
+
+
+USUAL = [
+    (payload.decision_labels, "_LIST_FORM", '{"decision_string": "x", "labels": ["a::1", "", "b :: é"]}', ["a::1", "", "b :: é"]),
+    (payload.decision_labels, "_LIST_FORM", "{'decision_string':'';'labels':['a::1','b::{}']}", ["a::1", "b::{}"]),
+    (payload.listed_labels, "_LIST_FORM", "{'decision_string': 'x'; 'labels': ['a::1'; 'b::2']}", ["a::1", "b::2"]),
+    (payload.decision_labels, "_NESTED_FORM", nested({"e": {"payload": [{"values": {"a": "1", "b": "", "c": "x:y z"}}]}}),
+     ["a::1", "b::", "c::x:y z"]),
+    (payload.decision_labels, "_NESTED_FORM", nested({"e": {"payload": [{"values": {"a": ":"}}, {"values": {"a": "2"}}]}}), ["a:::", "a::2"]),
+    (payload.auditor_keyed_labels, "_KEYED_FORM", '{"123": "{\\"labels\\": [\\"a::1\\", \\"\\"]}"}', ("123", ["a::1", ""])),
+]
+
+
+@pytest.mark.parametrize(("function", "form", "text", "want"), USUAL)
+def test_usual_spellings_need_no_parse(spark, function, form, text, want):
+    df = spark.createDataFrame([(text,), (text[:-1] + ' , "more": 1}',)], "raw string")
+    fits = F.regexp_extract("raw", getattr(payload, form), 1) != ""
+    # with a further key the same labels are parsed; an object keyed by ids takes the first
+    got = [(r.fits, tuple(r.v) if isinstance(want, tuple) else r.v) for r in df.select(fits.alias("fits"), function(F.col("raw")).alias("v")).collect()]
+    assert got == [(True, want), (False, want)]
+
+
+def test_texts_that_only_look_usual_are_parsed(spark):
+    texts = [
+        '{"decision_string": "x", "labels": ["a::\\u0041", "b::\\"q\\""]}',
+        "{'decision_string': 'x'; 'labels': ['a::it;s']}",
+        '{"decision_string": "x", "labels": ["a::1" "b"]}',
+        '{"decision_string": "x", "labels": ["a::1\n"]}',
+        nested({"e": {"payload": [{"values": {"a": "true"}}]}}),
+        nested({"e": {"payload": [{"values": {"a": " x"}}]}}),
+    ]
+    got = run(spark, payload.decision_labels, texts)
+    assert got == [["a::A", 'b::"q"'], ["a::it,s"], None, None, ["a::true"], ["a::x"]]
