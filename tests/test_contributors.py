@@ -57,3 +57,24 @@ def test_orders_beside_lines_are_moved_by_their_join_only(spark, sf, monkeypatch
         fx.view(spark, sf, view)
     # lines, lines, lines and orders that lines are joined to, orders alone
     assert sorted(spreads) == ["l_", "l_", "l_", "o_", "o_"]
+
+
+def test_the_display_shows_every_row_and_column_of_the_rollup(spark, tmp_path):
+    from checks import QUERIES
+
+    day = datetime.date(1996, 3, 1)
+    lines = [  # suppliers 3 and 6 rate for the first and second segment of p0
+        (order, line, supplier, 1, 2.0, 0.02, flag, "F", day)
+        for order, line, supplier, flag in ((1, 1, 3, "A"), (1, 2, 3, "N"), (2, 1, 3, "N"), (3, 1, 6, "A"))
+    ]
+    names = "l_orderkey long, l_linenumber long, l_suppkey long, l_partkey long, l_quantity double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = [(key, 1, "F", day, "1-URGENT") for key in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate date, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    rollup = QUERIES["contributor_rollup"](spark, str(tmp_path))
+    shown = QUERIES["contributor_display"](spark, str(tmp_path))
+    assert shown.columns == list(rollups.CONTRIBUTOR_HEADERS.values())
+    rows = {tuple(r) for r in shown.collect()}
+    assert rows == {(*r[:4], f"'{r.rater_id}", *r[5:]) for r in rollup.select(*rollups.CONTRIBUTOR_HEADERS).collect()}
+    p0 = {(r["Project Name"], r.Segment, r["Contributor ID"], r["True Positives"], r["True Negatives"], r.Accuracy) for r in shown.collect() if r["Project ID"] == "p0"}
+    assert p0 == {("Pine", "1", "'10000000003", 1, 2, 1.0), ("Pine 2", "2", "'10000000006", 1, 0, 1.0)}
