@@ -73,3 +73,18 @@ def test_a_report_is_written_once_and_empties_its_weeks(spark, tmp_path):
     incremental.write_report(table.where("n = 1").withColumn("n", counted("n")), out, "report", weeks)
     assert calls.value == 1
     assert [(r.week_ending, r.n) for r in lake.read_table(spark, f"{out}/report").collect()] == [(WEEK, 1)]
+
+
+def test_changed_files_hold_lines_of_every_status(spark, tmp_path):
+    from checks import QUERIES
+
+    lines = [
+        (order, 1, supplier, 1, 0.02 if status else 0.0, "A", status, datetime.datetime(year, 3, 1))
+        for order, (supplier, year, status) in enumerate(
+            [(supplier, year, status) for supplier in (3, 1, 2) for year in (1996, 1998) for status in ("F", "O", "O", None)]
+        )
+    ]
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = {(r.project_id, r.reporting_week.year): (r.row_count, r.correct_count) for r in QUERIES["incremental_changes"](spark, str(tmp_path)).collect()}
+    assert found == {(p, year): (4, 3) for p in ("007", "12E4", "p2") for year in (1996, 1998) if (p, year) != ("p2", 1998)}
